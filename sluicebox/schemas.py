@@ -2,38 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from sluicebox.constants import FLAT_REQUIRED_FIELDS
 
-KAFKA_SCHEMA = StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+
+def _struct(**fields: T.DataType | type[T.DataType]) -> T.StructType:
+    """A struct of nullable fields; built without DDL text, which would need a running session."""
+    return T.StructType([T.StructField(n, t() if isinstance(t, type) else t) for n, t in fields.items()])
+
+
+KAFKA_SCHEMA = _struct(
+    key=T.BinaryType,
+    value=T.BinaryType,
+    topic=T.StringType,
+    partition=T.IntegerType,
+    offset=T.LongType,
+    timestamp=T.TimestampType,
 )
 
-BRONZE_SCHEMA = StructType.fromDDL(
-    "key STRING, raw_payload STRING, topic STRING, partition INT, offset BIGINT, ingest_time TIMESTAMP"
+BRONZE_SCHEMA = _struct(
+    key=T.StringType,
+    raw_payload=T.StringType,
+    topic=T.StringType,
+    partition=T.IntegerType,
+    offset=T.LongType,
+    ingest_time=T.TimestampType,
 )
 
+_METADATA = _struct(branch_id=T.StringType, device_status=T.StringType)
+
 # The whole event as producers send it.
-EVENT_SCHEMA = StructType.fromDDL(
-    "bank_id STRING, channel STRING,"
-    " raw_payload STRUCT<atmCode: STRING, trxAmt: STRING, trxTime: STRING, cardNumber: STRING, extra_field: INT>,"
-    " ingest_time STRING, source_event_id STRING,"
-    " extra_metadata STRUCT<branch_id: STRING, device_status: STRING>"
+EVENT_SCHEMA = _struct(
+    bank_id=T.StringType,
+    channel=T.StringType,
+    raw_payload=_struct(
+        atmCode=T.StringType,
+        trxAmt=T.StringType,
+        trxTime=T.StringType,
+        cardNumber=T.StringType,
+        extra_field=T.IntegerType,
+    ),
+    ingest_time=T.StringType,
+    source_event_id=T.StringType,
+    extra_metadata=_METADATA,
 )
 
 # The part of the event that silver is built from. from_json skips the other fields without
 # building values for them; Catalyst does not prune a parsed struct that is used more than once.
-SILVER_PARSE_SCHEMA = StructType.fromDDL(
-    "bank_id STRING, channel STRING,"
-    " raw_payload STRUCT<trxAmt: STRING, trxTime: STRING, cardNumber: STRING>,"
-    " source_event_id STRING,"
-    " extra_metadata STRUCT<branch_id: STRING, device_status: STRING>"
+SILVER_PARSE_SCHEMA = _struct(
+    bank_id=T.StringType,
+    channel=T.StringType,
+    raw_payload=_struct(trxAmt=T.StringType, trxTime=T.StringType, cardNumber=T.StringType),
+    source_event_id=T.StringType,
+    extra_metadata=_METADATA,
 )
 
-SILVER_SCHEMA = StructType.fromDDL(
-    "transaction_id STRING, event_timestamp TIMESTAMP, bank_id STRING, channel STRING, amount DOUBLE,"
-    " masked_card STRING, status STRING, quality_score STRING, processed_at TIMESTAMP"
+SILVER_SCHEMA = _struct(
+    transaction_id=T.StringType,
+    event_timestamp=T.TimestampType,
+    bank_id=T.StringType,
+    channel=T.StringType,
+    amount=T.DoubleType,
+    masked_card=T.StringType,
+    status=T.StringType,
+    quality_score=T.StringType,
+    processed_at=T.TimestampType,
 )
 SILVER_COLUMNS = SILVER_SCHEMA.fieldNames()
 SILVER_PARTITIONS = ["bank_id", "channel"]
@@ -41,6 +75,6 @@ SILVER_PARTITIONS = ["bank_id", "channel"]
 # Flat events keep their JSON token types, so their fields are VARIANT. As members of a struct,
 # an absent field is SQL NULL and an explicit JSON null is a variant null.
 CORRUPT_TEXT = "_corrupt_text"
-FLAT_EVENT_SCHEMA = StructType.fromDDL(
-    ", ".join(f"{name} VARIANT" for name in FLAT_REQUIRED_FIELDS) + f", {CORRUPT_TEXT} STRING"
+FLAT_EVENT_SCHEMA = _struct(
+    **{name: T.VariantType for name in FLAT_REQUIRED_FIELDS}, **{CORRUPT_TEXT: T.StringType}
 )
