@@ -22,6 +22,19 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def customers_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ``customer`` in the shape of ``events``, for the tree that needs one file per event."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return customer.select(
+        F.col("c_custkey").alias("event_id"),
+        (start + F.make_dt_interval(mins=F.col("c_custkey").cast("int"))).alias("ts"),
+        F.col("c_nationkey").cast("bigint").alias("user_id"),
+        F.col("c_mktsegment").alias("event_type"),
+        F.col("c_acctbal").alias("value"),
+    )
+
+
 def _mod(n: int) -> Column:
     return F.col("event_id") % n
 
@@ -107,7 +120,7 @@ def kafka_with_other_topics(events: DataFrame) -> DataFrame:
 
 def flat_texts(events: DataFrame) -> DataFrame:
     """Flat JSON documents with their folder names; every kind of issue occurs."""
-    value = F.col("value").cast("string")
+    value, negative = F.col("value").cast("string"), (-F.abs("value")).cast("string")
 
     def member(name: str, token: Column) -> Column:
         return F.concat(F.lit(f'"{name}": '), token)
@@ -122,7 +135,7 @@ def flat_texts(events: DataFrame) -> DataFrame:
     )
     identity = F.when(_mod(20) == 15, "null").when(_mod(20) != 5, quoted(_text("E", F.col("event_id"))))
     amount = (
-        F.when(_mod(10) == 3, F.lit(None)).when(_mod(10) == 7, '"N/A"').when(_mod(10) == 9, F.concat(F.lit("-"), value))
+        F.when(_mod(10) == 3, F.lit(None)).when(_mod(10) == 7, '"N/A"').when(_mod(10) == 9, negative)
         .when(_mod(10) == 5, "null").when(_mod(10) == 8, "true").when(_mod(10) == 6, quoted(value)).otherwise(value)
     )
     time = (

@@ -60,13 +60,18 @@ scored AS (
 clean AS (SELECT * FROM scored WHERE quality_score = 'CLEAN'),
 rejected AS (SELECT * FROM scored WHERE quality_score <> 'CLEAN')"""
 
+_CUSTOMER_EVENTS = """(
+    SELECT c_custkey AS event_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(c_custkey) AS ts,
+      c_nationkey AS user_id, c_mktsegment AS event_type, c_acctbal AS value
+    FROM customer)"""
+
 _FLAT = """
 flat AS (
   SELECT event_id, ts, event_type, value,
     'bank_' || lower(substr('ABC', CAST(user_id % 3 + 1 AS INTEGER), 1)) AS bank_dir,
     CASE event_id % 4 WHEN 0 THEN 'atm' WHEN 1 THEN 'pos' WHEN 2 THEN 'web' ELSE 'mobile' END AS channel_dir,
     event_id % 20 AS i, event_id % 10 AS a, event_id % 12 AS t, event_id % 33 AS b, event_id % 35 AS c
-  FROM events
+  FROM {table} AS event_rows
 ),
 checked AS (
   SELECT *, concat_ws(',',
@@ -75,10 +80,10 @@ checked AS (
       CASE WHEN t IN (3, 4) THEN 'missing_timestamp' END,
       CASE WHEN b = 11 THEN 'missing_bank_id' END,
       CASE WHEN c = 12 THEN 'missing_channel' END,
-      CASE WHEN a IN (5, 6, 7, 9) THEN 'invalid_amount' END,
+      CASE WHEN a IN (5, 6, 7, 9) OR (a IN (0, 1, 2, 4) AND value < 0) THEN 'invalid_amount' END,
       CASE WHEN t IN (1, 3, 8, 10) THEN 'invalid_timestamp' END) AS issues,
     CASE WHEN i NOT IN (5, 15) THEN 'E' || CAST(event_id AS VARCHAR) END AS transaction_id,
-    CASE WHEN a IN (3, 5, 7) THEN NULL WHEN a = 9 THEN -value WHEN a = 8 THEN 1.0 ELSE value END AS amount,
+    CASE WHEN a IN (3, 5, 7) THEN NULL WHEN a = 9 THEN -abs(value) WHEN a = 8 THEN 1.0 ELSE value END AS amount,
     CASE WHEN t IN (3, 4) THEN NULL WHEN t = 8 THEN CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR)
          WHEN t = 10 THEN strftime(ts, '%d/%m/%y %H:%M') WHEN t = 6 THEN strftime(ts, '%Y%m%dT%H%M%S')
          WHEN t = 2 THEN strftime(ts, '%G-W%V-%u') WHEN t = 1 THEN '2024-02-30T10:00:00'
@@ -118,8 +123,8 @@ def _scored(body: str) -> str:
     return f"WITH {_SCORED.strip()} {body}"
 
 
-def _flat(body: str) -> str:
-    return f"WITH {_FLAT.strip()} {body}"
+def _flat(body: str, table: str = "events") -> str:
+    return f"WITH {_FLAT.strip().format(table=table)} {body}"
 
 
 ORACLE: dict[str, str] = {
@@ -197,7 +202,7 @@ ORACLE: dict[str, str] = {
         ORDER BY transaction_id LIMIT 10"""),
     "bronze_sample": _source(f"""SELECT * FROM ({_BRONZE}) AS bronze ORDER BY "offset" LIMIT 20"""),
     "silver_sample": _scored(f"SELECT {_SILVER} FROM clean WHERE {_CHOSEN} ORDER BY transaction_id LIMIT 30"),
-    "flat_scan": _flat("SELECT bank_dir, channel_dir, issues, count(*) AS files FROM checked GROUP BY ALL"),
+    "flat_scan": _flat("SELECT bank_dir, channel_dir, transaction_id, issues FROM checked", _CUSTOMER_EVENTS),
     "flat_issues": _flat("SELECT event_id, issues FROM checked"),
     "flat_canonical": _flat('SELECT event_id, transaction_id, amount, "timestamp", bank_id, channel FROM checked'),
     "flat_counts": _flat("SELECT bank_dir, channel_dir, count(*) AS n FROM flat GROUP BY bank_dir, channel_dir"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluicebox.catalog.fixtures import (
     AS_OF,
     EVENTS_SCHEMA,
+    customers_as_events,
     flat_texts,
     kafka_records,
     kafka_with_other_topics,
@@ -341,12 +342,15 @@ def _event_id() -> Column:
 
 @query("flat_scan")
 def flat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files found in a tree with one event per file, by folder and issues of their content."""
-    tree = flat_tree(spark, read_events(spark, sf_dir))
+    """Every file of a tree with one event per file: its folders, its transaction and its issues."""
+    tree = flat_tree(spark, customers_as_events(spark, sf_dir))
     checked = flat.add_issues(flat.parse_flat(scan_flat_files(spark, tree)))
-    folder = [F.substring_index(name, "=", -1).alias(name) for name in ("bank_dir", "channel_dir")]
-    grouped = checked.groupBy(*folder, F.array_join("issues", ",").alias("issues"))
-    return grouped.agg(F.count(F.lit(1)).alias("files"))
+    return checked.select(
+        F.substring_index("bank_dir", "=", -1).alias("bank_dir"),
+        F.substring_index("channel_dir", "=", -1).alias("channel_dir"),
+        F.try_variant_get("event.transaction_id", "$", "string").alias("transaction_id"),
+        F.array_join("issues", ",").alias("issues"),
+    )
 
 
 @query("flat_issues")

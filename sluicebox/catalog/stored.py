@@ -37,8 +37,12 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> StoredLayers:
 
 
 def flat_tree(spark: SparkSession, events: DataFrame) -> str:
-    """The flat events as a tree with one document per file, as collectors leave it."""
+    """The flat events as a tree with one document per file, as collectors leave it.
+
+    Creating a file costs far more than its few bytes, so the rows are spread over all cores first.
+    """
     root = shared_folder(spark, "flat")
-    documents = canonical(parse_flat(flat_texts(events).drop("file_name")))
-    documents.write.option("maxRecordsPerFile", 1).partitionBy("bank_dir", "channel_dir").json(root)
+    documents = canonical(parse_flat(flat_texts(events)))
+    spread = documents.repartition(spark.sparkContext.defaultParallelism, "file_name").drop("file_name")
+    spread.write.option("maxRecordsPerFile", 1).partitionBy("bank_dir", "channel_dir").json(root)
     return root
