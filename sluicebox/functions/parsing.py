@@ -1,0 +1,16 @@
+"""Parsing a text column exactly once."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def with_parsed(frame: DataFrame, name: str, parse: Column) -> DataFrame:
+    """``frame.withColumn(name, parse)`` in a form that later filters cannot multiply.
+
+    Catalyst pushes a filter on parsed fields below the parse, and so parses every text again for each
+    field the filter tests. A filter on the columns of a generator stays above it; this generator emits
+    exactly one row per input row, also where the parse gives null.
+    """
+    return frame.select("*", F.inline(F.array(F.struct(parse.alias(name)))))

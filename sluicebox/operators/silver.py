@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sluicebox.functions.parsing import with_parsed
 from sluicebox.functions.quality import COMPLETENESS, RuleSet
 from sluicebox.functions.values import amount_of, card_digest, event_time_of, instant
 from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_PARSE_SCHEMA
@@ -38,15 +39,8 @@ def flatten(parsed: DataFrame) -> DataFrame:
 
 
 def parse_once(bronze: DataFrame) -> DataFrame:
-    """``flatten(parse_events(bronze))`` in a form that later filters cannot multiply.
-
-    Catalyst pushes a filter on parsed fields below the parse and so parses every text again for each
-    field it tests. A filter on the columns of a generator stays above it; this generator emits exactly
-    one row per input row, also for text that does not parse.
-    """
-    event = F.from_json("raw_payload", SILVER_PARSE_SCHEMA)
-    row = F.struct(event.alias("data"))
-    return flatten(bronze.select("ingest_time", F.inline(F.array(row))))
+    """``flatten(parse_events(bronze))``, reading only the fields silver needs and each text just once."""
+    return flatten(with_parsed(bronze, "data", F.from_json("raw_payload", SILVER_PARSE_SCHEMA)))
 
 
 def add_quality(flat: DataFrame, rules: RuleSet = COMPLETENESS) -> DataFrame:
