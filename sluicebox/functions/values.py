@@ -29,9 +29,14 @@ def instant(as_of: datetime | str | Column | None) -> Column:
 
 
 def event_time_of(text: Column, fallback: Column) -> Column:
-    """First accepted pattern wins; text that fits none takes the fallback."""
-    parses = [F.try_to_timestamp(text, F.lit(pattern)) for pattern in TRANSACTION_TIME_PATTERNS]
-    return F.coalesce(*parses, fallback)
+    """Time of the first pattern that fits; text that fits none takes the fallback.
+
+    A failed parse raises and catches an exception inside Spark, which costs more than the parse. The
+    third character tells the patterns apart, so most rows try only the one that can succeed.
+    """
+    slashed, dashed = (F.try_to_timestamp(text, F.lit(pattern)) for pattern in TRANSACTION_TIME_PATTERNS)
+    parsed = F.when(F.substring(text, 3, 1) == "/", slashed).otherwise(dashed)
+    return F.coalesce(parsed, fallback)
 
 
 def card_digest(card: Column) -> Column:

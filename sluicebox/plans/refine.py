@@ -28,6 +28,12 @@ class Targets:
     csv_single_file: bool = False
 
 
+def _clock() -> datetime:
+    """The current time in milliseconds, as finer parts would not survive in JSON and CSV."""
+    now = datetime.now(timezone.utc)
+    return now.replace(microsecond=now.microsecond // 1000 * 1000)
+
+
 def run_refine(
     spark: SparkSession,
     bronze_path: str,
@@ -42,7 +48,7 @@ def run_refine(
     All sinks see one processing time, fixed before the first of them starts. The feed is optional by
     nature: when the broker is away, the files are still written.
     """
-    now = as_of or datetime.now(timezone.utc)
+    now = as_of or _clock()
     scored = to_silver(read_bronze(spark, bronze_path), now, rules)
     sinks = [
         Sink("silver", lambda frame: write_silver(clean_rows(frame), targets.silver, layout=layout)),
