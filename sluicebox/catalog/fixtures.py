@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.constants import CLEAN_FEED_TOPIC
 from sluicebox.functions.values import topic_name
+from sluicebox.sources.spread import use_all_cores
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -19,7 +20,7 @@ MALFORMED = "{not json"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def customers_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,9 +213,9 @@ def garbage_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("silver_roundtrip")
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows appended in two runs, without the rebalancing shuffle, and read back."""
+    """Silver rows appended in two writes, without the rebalancing shuffle, and read back."""
     path = shared_folder(spark, "silver")
-    clean = clean_rows(_scored(spark, sf_dir))
+    clean = clean_rows(_stored_silver(spark, sf_dir))
     write_silver(clean, path, layout="as_is")
     write_silver(clean, path, layout="as_is")
     return _comparable(read_silver(spark, path))
@@ -223,9 +223,9 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("garbage_roundtrip")
 def garbage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected rows appended in two runs and read back."""
+    """Rejected rows appended in two writes and read back."""
     path = shared_folder(spark, "garbage")
-    rejected = rejected_rows(_scored(spark, sf_dir))
+    rejected = rejected_rows(read_garbage(spark, stored_layers(spark, sf_dir).garbage))
     write_garbage(rejected, path)
     write_garbage(rejected, path)
     return _comparable(read_garbage(spark, path))

@@ -45,9 +45,9 @@ def velocity(silver: DataFrame, span_seconds: int = 3600) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.count(amount).alias("n_amount"), F.sum(amount).alias("s_amount"))
     )
     at = F.unix_micros("event_timestamp")
-    home = F.floor(at / F.lit(span)).cast("bigint")
+    home = at - F.pmod(at, F.lit(span))  # start of the bucket
     spread = instants.select(
-        "*", at.alias("at"), home.alias("home"), F.explode(F.array(home, home + 1)).alias("bucket")
+        "*", at.alias("at"), home.alias("home"), F.explode(F.array(home, home + F.lit(span))).alias("bucket")
     )
 
     by_card = Window.partitionBy("masked_card", "bucket").orderBy("at")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluicebox.functions.parsing import with_parsed
+from sluicebox.functions.once import computed_once
 from sluicebox.functions.quality import COMPLETENESS, RuleSet
 from sluicebox.functions.values import amount_of, card_digest, event_time_of, instant
 from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_PARSE_SCHEMA
@@ -40,7 +40,7 @@ def flatten(parsed: DataFrame) -> DataFrame:
 
 def parse_once(bronze: DataFrame) -> DataFrame:
     """``flatten(parse_events(bronze))``, reading only the fields silver needs and each text just once."""
-    return flatten(with_parsed(bronze, "data", F.from_json("raw_payload", SILVER_PARSE_SCHEMA)))
+    return flatten(computed_once(bronze, "data", F.from_json("raw_payload", SILVER_PARSE_SCHEMA)))
 
 
 def add_quality(flat: DataFrame, rules: RuleSet = COMPLETENESS) -> DataFrame:

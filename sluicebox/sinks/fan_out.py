@@ -10,7 +10,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from sluicebox.schemas import SILVER_COLUMNS, SILVER_SCHEMA
 from sluicebox.session import delete_folder, shared_folder
 
 log = logging.getLogger(__name__)
@@ -33,27 +32,27 @@ class SinkResult:
 
 
 @contextmanager
-def held(scored: DataFrame, how: str = "table") -> Iterator[DataFrame]:
-    """The frame in a form that several writes can read without scanning and parsing bronze again.
+def held(frame: DataFrame, how: str = "table", route: str = "quality_score") -> Iterator[DataFrame]:
+    """The frame in a form that several writes can read without scanning and parsing the input again.
 
-    ``table`` writes it once to the shared folder, partitioned by label: each sink reads only its labels,
-    and a lost executor costs no parsing. ``persist`` keeps it on the executors, which suits small
-    runs. ``none`` recomputes it per sink, which pays when there is just one.
+    ``table`` writes it once to the shared folder, partitioned by the column that routes its rows: each
+    sink reads only its own part, and a lost executor costs no parsing. ``persist`` keeps it on the
+    executors, which suits small runs. ``none`` recomputes it per sink, which pays when there is just one.
     """
     if how == "none":
-        yield scored
+        yield frame
     elif how == "persist":
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            yield scored
+            yield frame
         finally:
-            scored.unpersist()
+            frame.unpersist()
     elif how == "table":
-        spark = scored.sparkSession
-        path = shared_folder(spark, "scored")
+        spark = frame.sparkSession
+        path = shared_folder(spark, "held")
         try:
-            scored.write.partitionBy("quality_score").parquet(path)
-            yield spark.read.schema(SILVER_SCHEMA).parquet(path).select(*SILVER_COLUMNS)
+            frame.write.partitionBy(route).parquet(path)
+            yield spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
         finally:
             delete_folder(spark, path)
     else:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluicebox.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
@@ -42,6 +43,11 @@ def read_garbage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER_SCHEMA).json(path).select(*SILVER_COLUMNS)
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame that Catalyst knows to be empty."""
+    return spark.range(0).select(*[F.lit(None).cast(field.dataType).alias(field.name) for field in schema])
+
+
 def read_garbage_if_any(spark: SparkSession, path: str) -> DataFrame:
     """Rejected rows, or an empty frame of the same schema while nothing was ever rejected."""
     try:
@@ -49,7 +55,7 @@ def read_garbage_if_any(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SILVER_SCHEMA)
+        return no_rows(spark, SILVER_SCHEMA)
 
 
 def read_required(spark: SparkSession, bronze_path: str, silver_path: str) -> tuple[DataFrame, DataFrame]:

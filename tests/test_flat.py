@@ -102,12 +102,13 @@ def test_root_has_to_be_absolute(spark):
         scan_flat_files(spark, "relative/tree")
 
 
-def test_job_writes_each_side_and_can_run_again(spark, tree, tmp_path):
+@pytest.mark.parametrize("hold", ["table", "persist", "none"])
+def test_job_writes_each_side_and_can_run_again(spark, tree, tmp_path, hold):
     silver, garbage = str(tmp_path / "silver"), str(tmp_path / "garbage")
     expected_copies = sum(len(issues) for text, issues in TEXTS.values() if text)
     expected_clean = sum(not issues for _, issues in TEXTS.values()) + 1
     for _ in range(2):
-        run_flat(spark, str(tree), silver, garbage)
+        run_flat(spark, str(tree), silver, garbage, hold)
         copies = spark.read.json(garbage)
         assert copies.count() == expected_copies
         assert spark.read.text(silver).count() == expected_clean

@@ -75,7 +75,7 @@ def test_new_files_are_added_in_batches(spark, sf_small, tmp_path):
     records.filter("offset < 500").repartition(2).write.parquet(bronze)
     run()
     first = read_silver(spark, silver).count()
-    records.filter("offset >= 500").write.mode("append").parquet(bronze)
+    records.filter("offset >= 500").coalesce(1).write.mode("append").parquet(bronze)
     run()
     scored = to_silver(records, AS_OF)
     assert 0 < first < read_silver(spark, silver).count() == clean_rows(scored).count()
