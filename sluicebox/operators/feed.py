@@ -21,7 +21,8 @@ def clean_feed(scored: DataFrame) -> DataFrame:
 def publish_frame(events: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
     """Keyless JSON records of structured events, each with the topic of its bank and channel.
 
-    The moment of publishing is added to the event as ``event_timestamp``.
+    The moment of publishing is added to the event as ``event_timestamp``. An event without a bank or
+    channel has a null topic, which the Kafka writer refuses: filter or route those beforehand.
     """
     stamped = events.withColumn("event_timestamp", utc_iso_text(instant(as_of)))
     value = F.to_json(F.struct(*stamped.columns))

@@ -17,7 +17,7 @@ from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.plans.report import build_report
 from sluicebox.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from sluicebox.sinks.fan_out import Sink, fan_out, held
-from sluicebox.sinks.files import export_banks_csv, write_csv, write_garbage, write_silver
+from sluicebox.sinks.files import export_banks_csv, laid_out, write_csv, write_garbage, write_silver
 from sluicebox.sources.layers import (
     LayerNotReady,
     read_bronze,
@@ -204,6 +204,17 @@ def test_hot_bank_is_written_by_many_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 300000
 
 
+def test_rebalancing_needs_adaptive_execution(spark, layers):
+    frame = read_silver(spark, layers.silver)
+    assert "Exchange" in laid_out(frame, ["bank_id"], "rebalance")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = laid_out(frame, ["bank_id"], "rebalance")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Exchange" not in plan
+
+
 def test_report(spark, layers):
     report = build_report(spark, layers.bronze, layers.silver, layers.garbage)
     figures = report.figures.first()

@@ -1,5 +1,6 @@
 """Streams give what the batch gives, and a rerun adds nothing."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluicebox.catalog.fixtures import AS_OF, EVENTS_SCHEMA, kafka_records, read_events
@@ -54,12 +55,14 @@ def test_console_echo_reads_the_source_by_itself(spark, sf_small):
     assert "Console" in progress[0].sink.description
 
 
-def test_silver_stream_equals_batch(spark, sf_small, tmp_path):
+@pytest.mark.parametrize("hold", ["persist", "table"])
+def test_silver_stream_equals_batch(spark, sf_small, tmp_path, hold):
     bronze = stored_layers(spark, sf_small).bronze
     silver, garbage, checkpoint = (str(tmp_path / n) for n in ("silver", "garbage", "checkpoint"))
     scored = to_silver(read_bronze(spark, bronze), AS_OF)
     for _ in range(2):
-        start_silver(stream_bronze(spark, bronze), silver, garbage, checkpoint, as_of=AS_OF).awaitTermination()
+        stream = stream_bronze(spark, bronze)
+        start_silver(stream, silver, garbage, checkpoint, as_of=AS_OF, hold=hold).awaitTermination()
         assert rows(read_silver(spark, silver)) == rows(clean_rows(scored))
         assert rows(read_garbage(spark, garbage)) == rows(rejected_rows(scored))
 
