@@ -80,7 +80,7 @@ checked AS (
       CASE WHEN t IN (3, 4) THEN 'missing_timestamp' END,
       CASE WHEN b = 11 THEN 'missing_bank_id' END,
       CASE WHEN c = 12 THEN 'missing_channel' END,
-      CASE WHEN a IN (5, 6, 7, 9) OR (a IN (0, 1, 2, 4) AND value < 0) THEN 'invalid_amount' END,
+      CASE WHEN a IN (5, 6, 7) OR (a = 9 AND value <> 0) OR (a IN (0, 1, 2, 4) AND value < 0) THEN 'invalid_amount' END,
       CASE WHEN t IN (1, 3, 8, 10) THEN 'invalid_timestamp' END) AS issues,
     CASE WHEN i NOT IN (5, 15) THEN 'E' || CAST(event_id AS VARCHAR) END AS transaction_id,
     CASE WHEN a IN (3, 5, 7) THEN NULL WHEN a = 9 THEN -abs(value) WHEN a = 8 THEN 1.0 ELSE value END AS amount,

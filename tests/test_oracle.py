@@ -27,6 +27,8 @@ def duck():
 def plain(value):
     if isinstance(value, float) and math.isnan(value):
         return "NaN"
+    if isinstance(value, float):
+        return value + 0.0  # both zeros are the same amount
     if isinstance(value, decimal.Decimal):
         return str(value.normalize())
     return value
