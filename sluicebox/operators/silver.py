@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from sluicebox.functions.once import computed_once
 from sluicebox.functions.quality import COMPLETENESS, RuleSet
 from sluicebox.functions.values import amount_of, card_digest, event_time_of, instant
-from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_PARSE_SCHEMA
+from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS
 
 # Where each flattened column comes from inside the parsed event.
 EVENT_PATHS = {
@@ -39,8 +39,8 @@ def flatten(parsed: DataFrame) -> DataFrame:
 
 
 def parse_once(bronze: DataFrame) -> DataFrame:
-    """``flatten(parse_events(bronze))``, reading only the fields silver needs and each text just once."""
-    return flatten(computed_once(bronze, "data", F.from_json("raw_payload", SILVER_PARSE_SCHEMA)))
+    """``flatten(parse_events(bronze))``, parsing each text just once whatever is filtered afterwards."""
+    return flatten(computed_once(bronze, "data", F.from_json("raw_payload", EVENT_SCHEMA)))
 
 
 def add_quality(flat: DataFrame, rules: RuleSet = COMPLETENESS) -> DataFrame:

@@ -32,7 +32,8 @@ BRONZE_SCHEMA = _struct(
 
 _METADATA = _struct(branch_id=T.StringType, device_status=T.StringType)
 
-# The whole event as producers send it.
+# The whole event as producers send it. Silver does not use every field, but all are parsed: when a
+# text breaks inside a field, what was read before it is kept only if that field is asked for.
 EVENT_SCHEMA = _struct(
     bank_id=T.StringType,
     channel=T.StringType,
@@ -48,16 +49,6 @@ EVENT_SCHEMA = _struct(
     extra_metadata=_METADATA,
 )
 
-# The part of the event that silver is built from. from_json skips the other fields without
-# building values for them; Catalyst does not prune a parsed struct that is used more than once.
-SILVER_PARSE_SCHEMA = _struct(
-    bank_id=T.StringType,
-    channel=T.StringType,
-    raw_payload=_struct(trxAmt=T.StringType, trxTime=T.StringType, cardNumber=T.StringType),
-    source_event_id=T.StringType,
-    extra_metadata=_METADATA,
-)
-
 SILVER_SCHEMA = _struct(
     transaction_id=T.StringType,
     event_timestamp=T.TimestampType,

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def use_all_cores(frame: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan of fewer splits than cores over all of them, by hash of the keys.
+    """Spread a scan that would leave three quarters of the cores idle, by hash of the keys.
 
     A small file, or a large one that cannot be split, is otherwise one task for everything
-    downstream. Scans with enough splits, as any large layer has, are returned as they are: no shuffle.
+    downstream. Scans with more splits, as any large layer has, are returned as they are: no shuffle.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    splits = frame._jdf.rdd().getNumPartitions()
-    return frame.repartition(cores, *keys) if splits < cores else frame
+    splits = frame.rdd.getNumPartitions()
+    return frame.repartition(cores, *keys) if 4 * splits <= cores else frame

@@ -21,6 +21,7 @@ from sluicebox.schemas import BRONZE_SCHEMA, KAFKA_SCHEMA, SILVER_COLUMNS, SILVE
 from sluicebox.sinks.kafka import write_by_topic, write_feed
 from sluicebox.sources.kafka import kafka_options, stream_topics
 from sluicebox.sources.layers import read_bronze, read_silver
+from sluicebox.sources.spread import use_all_cores
 
 
 def physical(frame):
@@ -215,6 +216,12 @@ def test_refinement_is_narrow_and_reads_one_column(spark):
     assert "PythonUDF" not in plan and "ArrowEval" not in plan
 
 
+def test_only_scans_with_few_splits_are_spread(spark):
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 4)
+    assert use_all_cores(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "Exchange" not in physical(use_all_cores(many, "id"))
+
+
 def test_filters_do_not_repeat_the_parse(spark):
     bronze = read_bronze(spark, stored_layers(spark, "/root/testdata/sf0.001").bronze)
     for side in (clean_rows, rejected_rows):
