@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.chat import chat_digest, format_chats
 from sluicebox.llm.common import read_table
+from sluicebox.llm.quality import score_quality
 from sluicebox.llm.secrets import find_secrets, secret_digest
 from sluicebox.llm.sharding import shard_documents
+from sluicebox.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "\\### Assistant: </turn> ok"
     added = spark.range(2).select(
@@ -33,8 +39,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_chat_formatting, op7_secret_scans, op8_sharding)
+    f.__name__: f for f in (op2_quality_classifier, op5_chat_formatting, op7_secret_scans, op8_sharding, op9_toxicity)
 }
 
 LLM_ORACLE: dict[str, str] = {
