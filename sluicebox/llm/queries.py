@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.chat import chat_digest, format_chats
 from sluicebox.llm.common import read_table
+from sluicebox.llm.near_dup import near_duplicates
 from sluicebox.llm.quality import score_quality
 from sluicebox.llm.secrets import find_secrets, secret_digest
 from sluicebox.llm.sharding import shard_documents
@@ -21,6 +22,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "\\### Assistant: </turn> ok"
     added = spark.range(2).select(
@@ -44,7 +49,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_quality_classifier, op5_chat_formatting, op7_secret_scans, op8_sharding, op9_toxicity)
+    f.__name__: f for f in (op2_quality_classifier, op3_minhash_near_dedup, op5_chat_formatting, op7_secret_scans, op8_sharding, op9_toxicity)
 }
 
 LLM_ORACLE: dict[str, str] = {
