@@ -6,24 +6,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicebox.llm.common import read_table, written
+from sluicebox.llm.decontaminate import drop_leaking
+from sluicebox.llm.near_dup import keep_first
+from sluicebox.llm.pieces import encode_documents
 from sluicebox.llm.secrets import mask_secrets
+from sluicebox.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity trees reject go."""
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_leaking(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every found secret is replaced by its kind; all documents stay."""
     return mask_secrets(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("secret_scans", secret_scans)]
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts become piece numbers: doc_id, text, pieces."""
+    return encode_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("sentencepiece", sentencepiece),
+]
+
+# Trained trees, sketches, alignments and merges are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read as the next one's input."""
-    from sluicebox.llm.common import read_table, written
-
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

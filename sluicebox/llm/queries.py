@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.chat import chat_digest, format_chats
 from sluicebox.llm.common import read_table
+from sluicebox.llm.decontaminate import find_leaks
 from sluicebox.llm.near_dup import near_duplicates
+from sluicebox.llm.pieces import piece_digest
 from sluicebox.llm.quality import score_quality
 from sluicebox.llm.secrets import find_secrets, secret_digest
 from sluicebox.llm.sharding import shard_documents
@@ -36,6 +38,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(conversations))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -48,8 +54,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_quality_classifier, op3_minhash_near_dedup, op5_chat_formatting, op7_secret_scans, op8_sharding, op9_toxicity)
+    f.__name__: f
+    for f in (
+        op2_quality_classifier, op3_minhash_near_dedup, op5_chat_formatting, op6_sentencepiece,
+        op7_secret_scans, op8_sharding, op9_toxicity,
+        op10_decontamination,
+    )
 }
 
 LLM_ORACLE: dict[str, str] = {
