@@ -11,15 +11,21 @@ from sluicebox.llm.chat import chat_digest, format_chats
 from sluicebox.llm.common import read_table
 from sluicebox.llm.decontaminate import find_leaks
 from sluicebox.llm.near_dup import near_duplicates
+from sluicebox.llm.neighbours import nearest
 from sluicebox.llm.pieces import piece_digest
 from sluicebox.llm.quality import score_quality
 from sluicebox.llm.secrets import find_secrets, secret_digest
 from sluicebox.llm.sharding import shard_documents
+from sluicebox.llm.suffix_dedup import repeat_digest
 from sluicebox.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -28,6 +34,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "\\### Assistant: </turn> ok"
     added = spark.range(2).select(
@@ -61,7 +71,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_quality_classifier, op3_minhash_near_dedup, op5_chat_formatting, op6_sentencepiece,
+        op1_suffix_array_dedup, op2_quality_classifier, op3_minhash_near_dedup, op4_nearest_neighbours, op5_chat_formatting, op6_sentencepiece,
         op7_secret_scans, op8_sharding, op9_toxicity,
         op10_decontamination,
     )
