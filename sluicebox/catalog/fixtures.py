@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from sluicebox.constants import CLEAN_FEED_TOPIC
 from sluicebox.functions.values import topic_name
-from sluicebox.sources.spread import use_all_cores
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -20,7 +19,7 @@ MALFORMED = "{not json"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_all_cores(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def customers_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +68,7 @@ def nested_event() -> dict[str, Column]:
         amount.alias("trxAmt"),
         time.alias("trxTime"),
         F.when(_mod(30) != 1, _text("****", F.col("user_id") + 1000)).alias("cardNumber"),
+        F.when(_mod(40) == 17, _mod(100).cast("int")).alias("extra_field"),
     )
     status = F.when(F.col("event_type") == "error", "WARN").otherwise("OK")
     metadata = F.struct(_text("B", _mod(20)).alias("branch_id"), status.alias("device_status"))

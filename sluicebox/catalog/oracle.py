@@ -93,7 +93,7 @@ checked AS (
   FROM flat
 )"""
 
-_SILVER = "transaction_id, event_timestamp, bank_id, channel, amount, masked_card, status, quality_score"
+_SILVER = f"transaction_id, event_timestamp, bank_id, channel, amount, masked_card, status, quality_score, {_AS_OF} AS processed_at"
 _CHOSEN = "bank_id IN ('BANK_A', 'BANK_C')"
 
 _MEMBERS = """concat_ws(',',
@@ -103,7 +103,8 @@ _MEMBERS = """concat_ws(',',
         '"atmCode":"A' || CAST(event_id % 50 AS VARCHAR) || '"',
         CASE WHEN amount_text IS NOT NULL THEN '"trxAmt":"' || amount_text || '"' END,
         '"trxTime":"' || time_text || '"',
-        CASE WHEN card IS NOT NULL THEN '"cardNumber":"' || card || '"' END) || '}',
+        CASE WHEN card IS NOT NULL THEN '"cardNumber":"' || card || '"' END,
+        CASE WHEN event_id % 40 = 17 THEN '"extra_field":' || CAST(event_id % 100 AS VARCHAR) END) || '}',
       '"ingest_time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"',
       '"source_event_id":"E' || CAST(event_id AS VARCHAR) || '"',
       CASE WHEN branch IS NOT NULL
@@ -115,6 +116,42 @@ _BRONZE = f"""
   FROM records"""
 
 
+_PUBLISHED = f"""
+      'E' || CAST(event_id AS VARCHAR) AS transaction_id, event_bank AS bank_id, event_channel AS channel,
+      'A' || CAST(event_id % 50 AS VARCHAR) AS atm_code, amount_text AS trx_amt, time_text AS trx_time, card AS card_number,
+      CASE WHEN event_id % 40 = 17 THEN CAST(event_id % 100 AS VARCHAR) END AS extra_field,
+      strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_ingest_time, branch AS branch_id, device AS status,
+      strftime({_AS_OF}, '%Y-%m-%dT%H:%M:%S') AS published_at"""
+
+_FLAT_TEXT = """'{' || concat_ws(', ',
+      CASE WHEN i = 15 THEN '"transaction_id": null' WHEN i <> 5 THEN '"transaction_id": "E' || CAST(event_id AS VARCHAR) || '"' END,
+      CASE a WHEN 3 THEN NULL WHEN 7 THEN '"amount": "N/A"' WHEN 9 THEN '"amount": ' || CAST(-abs(value) AS VARCHAR)
+             WHEN 5 THEN '"amount": null' WHEN 8 THEN '"amount": true'
+             WHEN 6 THEN '"amount": "' || CAST(value AS VARCHAR) || '"' ELSE '"amount": ' || CAST(value AS VARCHAR) END,
+      CASE t WHEN 4 THEN NULL WHEN 3 THEN '"timestamp": null' WHEN 8 THEN '"timestamp": ' || "timestamp"
+             ELSE '"timestamp": "' || "timestamp" || '"' END,
+      CASE WHEN b <> 11 THEN '"bank_id": "' || upper(bank_dir) || '"' END,
+      CASE WHEN c = 12 THEN '"channel": null' ELSE '"channel": "' || upper(channel_dir) || '"' END,
+      '"note": "' || event_type || '"') || '}'"""
+
+# The amounts of the extreme fixture, apart: counts of what is no number, and two sums whose order does not matter.
+_EXTREME = """
+        SELECT *, CASE WHEN event_id % 101 = 0 THEN 'nan' WHEN event_id % 103 = 0 THEN 'inf' WHEN event_id % 107 = 0 THEN '-inf' END AS odd,
+          CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0 THEN NULL
+               WHEN event_id % 13 = 1 THEN NULL WHEN event_id % 13 = 2 THEN 0.0000004 ELSE amount END AS fine,
+          CASE WHEN event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0 AND event_id % 13 = 1 THEN 1e22 END AS huge
+        FROM clean"""
+
+
+def _extreme_sum(over: str = "") -> str:
+    """The kind of a sum and its value, over a group or a window."""
+    odd = {k: f"count(CASE WHEN odd = '{k}' THEN 1 END) {over} > 0" for k in ("nan", "inf", "-inf")}
+    return f"""
+          CASE WHEN {odd['nan']} OR ({odd['inf']} AND {odd['-inf']}) THEN 'nan' WHEN {odd['inf']} THEN 'inf'
+               WHEN {odd['-inf']} THEN '-inf' ELSE 'number' END AS kind,
+          coalesce(CAST(sum(CAST(fine AS DECIMAL(28, 7))) {over} AS DOUBLE), 0) + coalesce(sum(huge) {over}, 0) AS total"""
+
+
 def _source(body: str) -> str:
     return f"WITH {_SOURCE.strip()} {body}"
 
@@ -140,7 +177,7 @@ ORACLE: dict[str, str] = {
           CASE WHEN NOT malformed THEN amount_text END AS trx_amt,
           CASE WHEN NOT malformed THEN time_text END AS trx_time,
           CASE WHEN NOT malformed THEN card END AS card_number,
-          CAST(NULL AS INTEGER) AS extra_field,
+          CASE WHEN NOT malformed AND event_id % 40 = 17 THEN CAST(event_id % 100 AS VARCHAR) END AS extra_field,
           CASE WHEN NOT malformed THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS event_ingest_time,
           CASE WHEN NOT malformed THEN 'E' || CAST(event_id AS VARCHAR) END AS source_event_id,
           CASE WHEN NOT malformed THEN branch END AS branch_id,
@@ -167,11 +204,9 @@ ORACLE: dict[str, str] = {
     "clean_feed": _scored(f"""
         SELECT transaction_id AS key, {_SILVER}, CAST(8 + CASE WHEN masked_card IS NULL THEN 0 ELSE 1 END AS BIGINT) AS members
         FROM clean"""),
-    "publish_frame": _source(f"""
-        SELECT CASE WHEN event_bank IS NOT NULL THEN input_topic END AS topic,
-          'E' || CAST(event_id AS VARCHAR) AS transaction_id, event_bank AS bank_id, event_channel AS channel,
-          amount_text AS trx_amt, device AS status, strftime({_AS_OF}, '%Y-%m-%dT%H:%M:%S') AS published_at
-        FROM records"""),
+    "publish_frame": _source(f"SELECT input_topic AS topic, {_PUBLISHED} FROM records WHERE event_bank IS NOT NULL"),
+    "publish_named_topic": _source(f"SELECT 'bank_a_atm_transactions' AS topic, {_PUBLISHED} FROM records"),
+    "publish_unroutable": _source(f"SELECT {_PUBLISHED} FROM records WHERE event_bank IS NULL"),
     "silver_scan": _scored(f"SELECT {_SILVER} FROM clean"),
     "garbage_scan": _scored(f"SELECT {_SILVER} FROM rejected"),
     "silver_roundtrip": _scored(f"SELECT {_SILVER} FROM clean UNION ALL SELECT {_SILVER} FROM clean"),
@@ -180,6 +215,10 @@ ORACLE: dict[str, str] = {
         SELECT 'present' AS layer, count(*) AS n FROM rejected UNION ALL SELECT 'absent' AS layer, 0 AS n"""),
     "csv_roundtrip": _scored(f"SELECT {_SILVER} FROM clean"),
     "csv_bank_export": _scored(f"SELECT {_SILVER} FROM clean WHERE {_CHOSEN}"),
+    "csv_hard_texts": _scored(f"""
+        SELECT * REPLACE (' a "b", c' || chr(10) || status || ' ' AS status, processed_at + INTERVAL 123456 MICROSECOND AS processed_at)
+        FROM (SELECT {_SILVER} FROM clean)"""),
+    "silver_stream_restart": _scored(f"SELECT {_SILVER} FROM scored UNION ALL SELECT {_SILVER} FROM scored"),
     "silver_stream": _scored(f"""
         SELECT CASE WHEN quality_score = 'CLEAN' THEN 'silver' ELSE 'garbage' END AS layer, {_SILVER} FROM scored"""),
     "layer_counts": _scored("""
@@ -202,15 +241,24 @@ ORACLE: dict[str, str] = {
         ORDER BY transaction_id LIMIT 10"""),
     "bronze_sample": _source(f"""SELECT * FROM ({_BRONZE}) AS bronze ORDER BY "offset" LIMIT 20"""),
     "silver_sample": _scored(f"SELECT {_SILVER} FROM clean WHERE {_CHOSEN} ORDER BY transaction_id LIMIT 30"),
-    "flat_scan": _flat("SELECT bank_dir, channel_dir, transaction_id, issues FROM checked", _CUSTOMER_EVENTS),
+    "flat_scan": _flat(
+        "SELECT bank_dir, channel_dir, transaction_id, event_type AS note, issues FROM checked", _CUSTOMER_EVENTS
+    ),
     "flat_issues": _flat("SELECT event_id, issues FROM checked"),
     "flat_canonical": _flat('SELECT event_id, transaction_id, amount, "timestamp", bank_id, channel FROM checked'),
-    "flat_counts": _flat("SELECT bank_dir, channel_dir, count(*) AS n FROM flat GROUP BY bank_dir, channel_dir"),
+    "flat_counts": _flat("""
+        SELECT bank_dir, channel_dir, count(*) AS n FROM flat GROUP BY bank_dir, channel_dir
+        UNION ALL SELECT 'bank_d', 'atm', 0""", _CUSTOMER_EVENTS),
+    "flat_trailing_text": _flat("""
+        SELECT event_id, CASE WHEN event_id % 6 = 5 THEN issues ELSE 'invalid_json' END AS issues FROM checked"""),
     "flat_silver": _flat("""
         SELECT event_id, bank_dir, channel_dir, transaction_id, a = 8 AS is_bool, amount, "timestamp", bank_id, channel
         FROM checked WHERE issues = ''"""),
-    "flat_garbage": _flat("""
-        SELECT event_id, bank_dir, channel_dir, unnest(string_split(issues, ',')) AS issue, event_type AS note
+    "flat_rerun": _flat("""
+        SELECT event_id, bank_dir, channel_dir, transaction_id, a = 8 AS is_bool, amount, "timestamp", bank_id, channel
+        FROM checked WHERE issues = ''"""),
+    "flat_garbage": _flat(f"""
+        SELECT event_id, bank_dir, channel_dir, unnest(string_split(issues, ',')) AS issue, {_FLAT_TEXT} AS event_text
         FROM checked WHERE issues <> ''"""),
     "kpi_window": _scored("""
         SELECT date_trunc('day', event_timestamp) AS window_start,
@@ -229,6 +277,25 @@ ORACLE: dict[str, str] = {
           WINDOW span AS (PARTITION BY masked_card ORDER BY event_timestamp
                           RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)
         ) AS windows"""),
+    "kpi_window_extremes": _scored(f"""
+        SELECT * EXCLUDE (total), CASE WHEN kind = 'number' THEN total END AS total_amount
+        FROM (
+          SELECT date_trunc('day', event_timestamp) AS window_start,
+            date_trunc('day', event_timestamp) + INTERVAL 1 DAY AS window_end, bank_id, channel, count(*) AS txn_count,
+            {_extreme_sum()}
+          FROM ({_EXTREME}) GROUP BY 1, 2, 3, 4
+        ) AS sums"""),
+    "velocity_extremes": _scored(f"""
+        SELECT masked_card, event_timestamp, txn_count, txn_count_span, kind,
+          CASE WHEN kind = 'number' THEN total / txn_count_span END AS avg_amount_span
+        FROM (
+          SELECT DISTINCT masked_card, event_timestamp,
+            count(*) OVER (PARTITION BY masked_card, event_timestamp) AS txn_count, count(*) OVER span AS txn_count_span,
+            {_extreme_sum('OVER span')}
+          FROM ({_EXTREME}) WHERE masked_card IS NOT NULL
+          WINDOW span AS (PARTITION BY masked_card ORDER BY event_timestamp
+                          RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)
+        ) AS windows"""),
     "garbage_alert": _scored("""
         SELECT date_trunc('hour', event_timestamp) AS window_start, count(*) AS total,
           count(*) FILTER (WHERE quality_score <> 'CLEAN') AS rejected,

@@ -18,18 +18,33 @@ from sluicebox.catalog.fixtures import (
     read_events,
     structured_events,
 )
-from sluicebox.catalog.stored import flat_tree, stored_layers
+from sluicebox.catalog.stored import TREE_SUFFIX, flat_tree, stored_layers
 from sluicebox.functions.quality import VALIDITY
 from sluicebox.operators import flat, gold, metrics
 from sluicebox.operators.bronze import matching_topics, to_bronze
-from sluicebox.operators.feed import clean_feed, publish_frame
+from sluicebox.operators.feed import clean_feed, publish_frame, unroutable
 from sluicebox.operators.routing import clean_rows, rejected_rows, route_counts
 from sluicebox.operators.silver import add_quality, flatten, parse_events, parse_once, to_silver
 from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
-from sluicebox.session import shared_folder
-from sluicebox.sinks.files import export_banks_csv, write_flat_garbage, write_flat_silver, write_garbage, write_silver
-from sluicebox.sources.flat_files import scan_flat_files
-from sluicebox.sources.layers import read_bronze, read_garbage, read_garbage_if_any, read_silver
+from sluicebox.session import make_folder, shared_folder
+from sluicebox.sinks.files import (
+    export_banks_csv,
+    write_csv,
+    write_flat_garbage,
+    write_flat_silver,
+    write_garbage,
+    write_silver,
+)
+from sluicebox.sources.flat_files import flat_folders, scan_flat_files
+from sluicebox.sources.layers import (
+    read_bronze,
+    read_csv_rows,
+    read_flat_garbage,
+    read_flat_silver,
+    read_garbage,
+    read_garbage_if_any,
+    read_silver,
+)
 from sluicebox.streaming.ingest import ALL_AVAILABLE, start_bronze
 from sluicebox.streaming.refine import start_silver, stream_bronze
 
@@ -60,10 +75,9 @@ def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _comparable(frame: DataFrame) -> DataFrame:
-    """Instants as plain UTC date-times, and no wall clock."""
-    shown = frame.drop("processed_at")
-    times = [f.name for f in shown.schema if f.dataType.typeName() == "timestamp"]
-    return shown.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+    """Instants as plain UTC date-times."""
+    times = [f.name for f in frame.schema if f.dataType.typeName() == "timestamp"]
+    return frame.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
 
 # Ingestion
@@ -108,7 +122,7 @@ def schema_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("data.raw_payload.trxAmt").alias("trx_amt"),
         F.col("data.raw_payload.trxTime").alias("trx_time"),
         F.col("data.raw_payload.cardNumber").alias("card_number"),
-        F.col("data.raw_payload.extra_field").alias("extra_field"),
+        F.col("data.raw_payload.extra_field").cast("string").alias("extra_field"),
         F.col("data.ingest_time").alias("event_ingest_time"),
         F.col("data.source_event_id").alias("source_event_id"),
         F.col("data.extra_metadata.branch_id").alias("branch_id"),
@@ -184,15 +198,36 @@ def clean_feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("publish_frame")
 def publish_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic and parsed-back JSON of events on their way to the broker."""
-    records = publish_frame(structured_events(read_events(spark, sf_dir)), AS_OF)
+    """Topic and parsed-back JSON of events on their way to the broker, all members."""
+    return _published_members(publish_frame(structured_events(read_events(spark, sf_dir)), AS_OF), "topic")
+
+
+@query("publish_named_topic")
+def publish_named_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A producer that names its topic can publish every event."""
+    records = publish_frame(structured_events(read_events(spark, sf_dir)), AS_OF, topic="bank_a_atm_transactions")
+    return _published_members(records, "topic")
+
+
+@query("publish_unroutable")
+def publish_unroutable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published_members(unroutable(structured_events(read_events(spark, sf_dir)), AS_OF))
+
+
+def _published_members(records: DataFrame, *keep: str) -> DataFrame:
     parsed = records.withColumn("event", F.from_json("value", EVENT_SCHEMA))
     return parsed.select(
-        "topic",
+        *keep,
         F.col("event.source_event_id").alias("transaction_id"),
         F.col("event.bank_id").alias("bank_id"),
         F.col("event.channel").alias("channel"),
+        F.col("event.raw_payload.atmCode").alias("atm_code"),
         F.col("event.raw_payload.trxAmt").alias("trx_amt"),
+        F.col("event.raw_payload.trxTime").alias("trx_time"),
+        F.col("event.raw_payload.cardNumber").alias("card_number"),
+        F.col("event.raw_payload.extra_field").cast("string").alias("extra_field"),
+        F.col("event.ingest_time").alias("event_ingest_time"),
+        F.col("event.extra_metadata.branch_id").alias("branch_id"),
         F.col("event.extra_metadata.device_status").alias("status"),
         F.get_json_object("value", "$.event_timestamp").alias("published_at"),
     )
@@ -242,8 +277,7 @@ def garbage_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    csv = spark.read.schema(SILVER_SCHEMA).option("header", "true").csv(stored_layers(spark, sf_dir).csv)
-    return _comparable(csv)
+    return _comparable(read_csv_rows(spark, stored_layers(spark, sf_dir).csv))
 
 
 @query("csv_bank_export")
@@ -251,7 +285,29 @@ def csv_bank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = datetime(2024, 2, 1, tzinfo=timezone.utc)
     silver = _stored_silver(spark, sf_dir)
     path = export_banks_csv(silver, CHOSEN_BANKS, shared_folder(spark, "export"), at)
-    return _comparable(spark.read.schema(SILVER_SCHEMA).option("header", "true").csv(path))
+    return _comparable(read_csv_rows(spark, path))
+
+
+@query("csv_hard_texts")
+def csv_hard_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks, quotes, commas, line breaks and microseconds through the one-file form of the export."""
+    hard = F.concat(F.lit(' a "b", c\n'), F.coalesce("status", F.lit("")), F.lit(" "))
+    instants = F.col("processed_at") + F.make_dt_interval(secs=F.lit(0.123456))
+    rows = _stored_silver(spark, sf_dir).withColumns({"status": hard, "processed_at": instants})
+    path = shared_folder(spark, "csv")
+    write_csv(rows, path, single_file=True)
+    return _comparable(read_csv_rows(spark, path))
+
+
+@query("silver_stream_restart")
+def silver_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checkpoints refine the same bronze into one layer: the second adds to what the first wrote."""
+    base = shared_folder(spark, "silver-restart")
+    silver, garbage = f"{base}/silver", f"{base}/garbage"
+    for turn in (1, 1, 2):
+        source = stream_bronze(spark, stored_layers(spark, sf_dir).bronze, 1)
+        start_silver(source, silver, garbage, f"{base}/checkpoint-{turn}", as_of=AS_OF).awaitTermination()
+    return _comparable(read_silver(spark, silver).unionAll(read_garbage(spark, garbage)).select(*SILVER_COLUMNS))
 
 
 @query("silver_stream")
@@ -344,12 +400,10 @@ def _event_id() -> Column:
 def flat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file of a tree with one event per file: its folders, its transaction and its issues."""
     tree = flat_tree(spark, customers_as_events(spark, sf_dir))
-    checked = flat.add_issues(flat.parse_flat(scan_flat_files(spark, tree)))
+    checked = flat.add_issues(flat.parse_flat(scan_flat_files(spark, tree, TREE_SUFFIX)))
     return checked.select(
-        F.substring_index("bank_dir", "=", -1).alias("bank_dir"),
-        F.substring_index("channel_dir", "=", -1).alias("channel_dir"),
-        F.try_variant_get("event.transaction_id", "$", "string").alias("transaction_id"),
-        F.array_join("issues", ",").alias("issues"),
+        "bank_dir", "channel_dir", F.try_variant_get("event.transaction_id", "$", "string").alias("transaction_id"),
+        F.get_json_object("event_text", "$.note").alias("note"), F.array_join("issues", ",").alias("issues"),
     )
 
 
@@ -366,7 +420,10 @@ def flat_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("flat_counts")
 def flat_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat.counts_per_folder(flat_texts(read_events(spark, sf_dir)))
+    """Files of a real tree per folder, among them a folder without any."""
+    tree = flat_tree(spark, customers_as_events(spark, sf_dir))
+    make_folder(spark, f"{tree}/bank_d/atm")
+    return flat.counts_per_folder(scan_flat_files(spark, tree, TREE_SUFFIX), flat_folders(spark, tree))
 
 
 @query("flat_silver")
@@ -374,10 +431,21 @@ def flat_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events written per folder and read back."""
     path = shared_folder(spark, "flat-silver")
     write_flat_silver(flat.accepted(_checked(spark, sf_dir)), path)
-    written = spark.read.schema(
-        "bank_dir STRING, channel_dir STRING, file_name STRING, transaction_id STRING, amount VARIANT,"
-        " timestamp STRING, bank_id STRING, channel STRING"
-    ).json(path)
+    return _flat_rows(read_flat_silver(spark, path))
+
+
+@query("flat_rerun")
+def flat_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two disjoint sets of files, then the first again: each event is there once."""
+    path = shared_folder(spark, "flat-rerun")
+    rows = flat.accepted(_checked(spark, sf_dir))
+    even = F.regexp_extract("file_name", "^e([0-9]+)", 1).cast("bigint") % 2 == 0
+    for turn, part in enumerate((even, ~even, even)):
+        write_flat_silver(rows.filter(part), path, run=f"{turn}")
+    return _flat_rows(read_flat_silver(spark, path))
+
+
+def _flat_rows(written: DataFrame) -> DataFrame:
     return written.select(
         _event_id(), "bank_dir", "channel_dir", "transaction_id", F.schema_of_variant("amount").rlike("BOOL").alias("is_bool"),
         F.try_variant_get("amount", "$", "double").alias("amount"), "timestamp", "bank_id", "channel",
@@ -389,11 +457,18 @@ def flat_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One copy per issue, written per folder and issue and read back."""
     path = shared_folder(spark, "flat-garbage")
     write_flat_garbage(flat.one_row_per_issue(_checked(spark, sf_dir)), path)
-    return spark.read.schema(
-        "bank_dir STRING, channel_dir STRING, issue STRING, file_name STRING, event_text STRING"
-    ).json(path).select(
-        _event_id(), "bank_dir", "channel_dir", "issue", F.get_json_object("event_text", "$.note").alias("note")
+    return read_flat_garbage(spark, path).select(_event_id(), "bank_dir", "channel_dir", "issue", "event_text")
+
+
+@query("flat_trailing_text")
+def flat_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text after a document, or a second one, makes the file no JSON, whatever the document says."""
+    texts = flat_texts(read_events(spark, sf_dir))
+    added = F.element_at(
+        F.array(*[F.lit(x) for x in (" junk", "{}", ", {}", "] junk", "} junk", " \n")]), (_event_id() % 6 + 1).cast("int")
     )
+    checked = flat.add_issues(flat.parse_flat(texts.withColumn("event_text", F.concat("event_text", added))))
+    return checked.select(_event_id(), F.array_join("issues", ",").alias("issues"))
 
 
 # Aggregates over silver
@@ -401,8 +476,41 @@ def flat_garbage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("kpi_window")
 def kpi_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kpi = gold.kpi_window(_stored_silver(spark, sf_dir), "1 day")
-    return _comparable(kpi.withColumn("total_amount", F.col("total_amount").cast("double")))
+    return _comparable(gold.kpi_window(_stored_silver(spark, sf_dir), "1 day"))
+
+
+def _with_extreme_amounts(silver: DataFrame) -> DataFrame:
+    """Amounts that no decimal holds, by the number of the transaction."""
+    number = F.substring("transaction_id", 2, 20).cast("bigint")
+    amount = (
+        F.when(number % 101 == 0, float("nan")).when(number % 103 == 0, float("inf")).when(number % 107 == 0, float("-inf"))
+        .when(number % 13 == 1, 1e22).when(number % 13 == 2, 4e-7).otherwise(F.col("amount"))
+    )
+    return silver.withColumn("amount", amount)
+
+
+def _shown_sum(column: str) -> Column:
+    """NaN and infinities as text beside a number, as a comparison of doubles may treat them alike."""
+    value = F.col(column)
+    return F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == float("-inf"), "-inf").otherwise("number")
+
+
+def _number(column: str) -> Column:
+    return F.when(_shown_sum(column) == "number", F.col(column))
+
+
+@query("kpi_window_extremes")
+def kpi_window_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpi = gold.kpi_window(_with_extreme_amounts(_stored_silver(spark, sf_dir)), "1 day")
+    shown = kpi.select("*", _shown_sum("total_amount").alias("kind"))
+    return _comparable(shown.withColumn("total_amount", _number("total_amount")))
+
+
+@query("velocity_extremes")
+def velocity_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gold.velocity(_with_extreme_amounts(_stored_silver(spark, sf_dir)), 6 * 3600)
+    shown = rows.select("*", _shown_sum("avg_amount_span").alias("kind"))
+    return _comparable(shown.withColumn("avg_amount_span", _number("avg_amount_span")))
 
 
 @query("velocity")

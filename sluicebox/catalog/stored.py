@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.catalog.fixtures import AS_OF, flat_texts, kafka_records, read_events
 from sluicebox.operators.bronze import to_bronze
-from sluicebox.operators.flat import canonical, parse_flat
 from sluicebox.plans.refine import Targets, run_refine
-from sluicebox.session import shared_folder
+from sluicebox.session import move_folder, shared_folder
 
 
 @dataclass(frozen=True)
@@ -36,13 +35,20 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> StoredLayers:
     return _stored[key]
 
 
+TREE_SUFFIX = ".txt"  # what Spark's text writer calls its files
+
+
 def flat_tree(spark: SparkSession, events: DataFrame) -> str:
-    """The flat events as a tree with one document per file, as collectors leave it.
+    """The flat events as a tree with one original text per file in plainly named folders, as collectors leave it.
 
     Creating a file costs far more than its few bytes, so the rows are spread over all cores first.
     """
-    root = shared_folder(spark, "flat")
-    documents = canonical(parse_flat(flat_texts(events)))
-    spread = documents.repartition(spark.sparkContext.defaultParallelism, "file_name").drop("file_name")
-    spread.write.option("maxRecordsPerFile", 1).partitionBy("bank_dir", "channel_dir").json(root)
-    return root
+    base = shared_folder(spark, "flat")
+    texts = flat_texts(events)
+    spread = texts.repartition(spark.sparkContext.defaultParallelism, "file_name")
+    rows = spread.select("bank_dir", "channel_dir", "event_text")
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("bank_dir", "channel_dir").text(f"{base}/written")
+    for row in texts.select("bank_dir", "channel_dir").distinct().collect():  # three banks of four channels
+        bank, channel = row
+        move_folder(spark, f"{base}/written/bank_dir={bank}/channel_dir={channel}", f"{base}/tree/{bank}/{channel}")
+    return f"{base}/tree"

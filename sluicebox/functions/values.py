@@ -61,9 +61,25 @@ def utc_iso_text(ts: Column) -> Column:
     )
 
 
+EXACT_BELOW = 1e12
+
+
 def exact_amount(amount: Column) -> Column:
-    """Decimal value for sums that must not depend on the order of rows or on task retries.
+    """Decimal value of amounts below 1e12 that 18 decimals hold exactly, null for all others.
 
-    NaN, infinities and values beyond 1e22 become null.
+    Sums of these do not depend on the order of rows or on task retries. What is null here is in ``other_amount``.
     """
-    return amount.try_cast("decimal(28,6)")
+    decimal = amount.try_cast("decimal(38,18)")
+    return F.when((F.abs(amount) < EXACT_BELOW) & (decimal.cast("double") == amount), decimal)
+
+
+def other_amount(amount: Column) -> Column:
+    """The amounts that ``exact_amount`` leaves out, as doubles: NaN, infinities, very large or very fine values."""
+    return F.when(exact_amount(amount).isNull(), amount)
+
+
+def whole_sum(exact: Column, other: Column) -> Column:
+    """The sum of both parts as a double; null only where there was no amount at all."""
+    return F.when(
+        exact.isNotNull() | other.isNotNull(), F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(other, F.lit(0.0))
+    )

@@ -18,12 +18,28 @@ def clean_feed(scored: DataFrame) -> DataFrame:
     return clean.select(F.col("transaction_id").cast("string").alias("key"), value.alias("value"))
 
 
-def publish_frame(events: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
-    """Keyless JSON records of structured events, each with the topic of its bank and channel.
+def _published(events: DataFrame, as_of: datetime | str | Column | None, topic: str | Column | None) -> DataFrame:
+    if topic is None:
+        topic = topic_name(F.col("bank_id"), F.col("channel"))
+    named = F.lit(topic) if isinstance(topic, str) else topic
+    stamped = events.withColumn("event_timestamp", utc_iso_text(instant(as_of)))
+    return stamped.select(named.alias("topic"), F.to_json(F.struct(*stamped.columns)).alias("value"))
+
+
+def publish_frame(
+    events: DataFrame, as_of: datetime | str | Column | None = None, topic: str | Column | None = None
+) -> DataFrame:
+    """Keyless JSON records of structured events for the Kafka writer.
 
-    The moment of publishing is added to the event as ``event_timestamp``. An event without a bank or
-    channel has a null topic, which the Kafka writer refuses: filter or route those beforehand.
+    A producer that knows its topic names it; else it follows from the event's bank and channel. The moment of
+    publishing is added to the event as ``event_timestamp``. Events without a topic are in ``unroutable``: a single one
+    would fail the whole write.
     """
-    stamped = events.withColumn("event_timestamp", utc_iso_text(instant(as_of)))
-    value = F.to_json(F.struct(*stamped.columns))
-    return stamped.select(topic_name(F.col("bank_id"), F.col("channel")).alias("topic"), value.alias("value"))
+    return _published(events, as_of, topic).filter(F.col("topic").isNotNull())
+
+
+def unroutable(
+    events: DataFrame, as_of: datetime | str | Column | None = None, topic: str | Column | None = None
+) -> DataFrame:
+    """The records that ``publish_frame`` cannot send, as they have no topic."""
+    return _published(events, as_of, topic).filter(F.col("topic").isNull()).select("value")

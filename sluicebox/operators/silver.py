@@ -33,9 +33,11 @@ def parse_events(bronze: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFr
 
 def flatten(parsed: DataFrame) -> DataFrame:
     """One column per event field, with the amount typed and the broker's time carried along."""
-    fields = [F.col(f"data.{path}").alias(name) for name, path in EVENT_PATHS.items()]
-    kept = parsed.select(*fields, "ingest_time")
-    return kept.withColumn("raw_amount", amount_of(F.col("raw_amount"))).withColumnRenamed("raw_amount", "amount")
+    fields = [
+        amount_of(F.col(f"data.{path}")).alias("amount") if name == "raw_amount" else F.col(f"data.{path}").alias(name)
+        for name, path in EVENT_PATHS.items()
+    ]
+    return parsed.select(*fields, "ingest_time")
 
 
 def parse_once(bronze: DataFrame) -> DataFrame:

@@ -69,3 +69,10 @@ CORRUPT_TEXT = "_corrupt_text"
 FLAT_EVENT_SCHEMA = _struct(
     **{name: T.VariantType for name in FLAT_REQUIRED_FIELDS}, **{CORRUPT_TEXT: T.StringType}
 )
+
+
+# Options under which times and texts in JSON and CSV come back as they were.
+TEXT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+FAITHFUL_CSV = TEXT_TIMES | {
+    "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "multiLine": "true",
+}

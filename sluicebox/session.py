@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -35,17 +35,37 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, **opti
     return builder.getOrCreate()
 
 
+_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+def use_folder(path: str) -> None:
+    """Names the folder for intermediate data where the session has no ``spark.checkpoint.dir``."""
+    _folder.set(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the one every executor can reach (``spark.checkpoint.dir``)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder name below the one every executor can reach: ``spark.checkpoint.dir``, or what ``use_folder`` names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _folder.get()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="sluicebox-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share, or name one by use_folder")
     return f"{base.rstrip('/')}/sluicebox/{purpose}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder on its file system."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, on whatever file system it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

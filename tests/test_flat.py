@@ -5,9 +5,10 @@ from pathlib import Path
 
 import pytest
 
-from sluicebox.operators.flat import accepted, add_issues, one_row_per_issue, parse_flat, typed
+from sluicebox.operators.flat import accepted, add_issues, counts_per_folder, one_row_per_issue, parse_flat, typed
 from sluicebox.plans.flat import run_flat
-from sluicebox.sources.flat_files import scan_flat_files
+from sluicebox.sources.flat_files import UnreadableFiles, flat_folders, scan_flat_files
+from sluicebox.sources.layers import read_flat_garbage, read_flat_silver
 
 BASE = {"transaction_id": "t", "amount": 1, "timestamp": "2026-01-01T00:00:00", "bank_id": "B", "channel": "ATM"}
 AMOUNT, TIME = ["invalid_amount"], ["invalid_timestamp"]
@@ -55,6 +56,16 @@ WHOLE = {
     "single quotes": (str(BASE), ["invalid_json"]),
     "empty": ("", ["invalid_json"]),
     "number": ("5", ["invalid_json"]),
+    "null": ("null", ["invalid_json"]),
+    "text behind": (json.dumps(BASE) + " junk", ["invalid_json"]),
+    "two documents": (json.dumps(BASE) * 2, ["invalid_json"]),
+    "list of two": (json.dumps(BASE) + ", " + json.dumps(BASE), ["invalid_json"]),
+    "bracket behind": (json.dumps(BASE) + "] x", ["invalid_json"]),
+    "brace behind": (json.dumps(BASE) + "} x", ["invalid_json"]),
+    "comma behind": (json.dumps(BASE) + ",", ["invalid_json"]),
+    "text behind a list": ("[1] x", ["invalid_json"]),
+    "blank behind": (json.dumps(BASE) + " \n", []),
+    "inner keys twice": (json.dumps(BASE)[:-1] + ', "note": {"a": 1, "a": 2}}', []),
 }
 TEXTS = {name: (json.dumps(BASE | change), issues) for name, (change, issues) in CASES.items()} | WHOLE
 
@@ -74,7 +85,7 @@ def test_issues(found, name):
 def tree(tmp_path):
     folder = tmp_path / "bronze" / "bank a+b" / "atm"
     folder.mkdir(parents=True)
-    for name, (text, _) in TEXTS.items():  # the empty one is a file of zero bytes, which is not listed
+    for name, (text, _) in TEXTS.items():
         (folder / f"{name.replace(' ', '_')}.json").write_text(text)
     (folder / "skip.txt").write_text("not an event")
     (folder.parent / "stray.json").write_text("{}")
@@ -91,7 +102,7 @@ def tree(tmp_path):
 def test_tree_scan(spark, tree):
     rows = scan_flat_files(spark, str(tree)).collect()
     names = {(r.bank_dir, r.channel_dir, r.file_name) for r in rows}
-    expected = {("bank a+b", "atm", f"{n.replace(' ', '_')}.json") for n in TEXTS if n != "empty"} | {("bank_c", "pos", "one.json")}
+    expected = {("bank a+b", "atm", f"{n.replace(' ', '_')}.json") for n in TEXTS} | {("bank_c", "pos", "one.json")}
     assert names == expected and len(rows) == len(expected)
     texts = {r.file_name: r.event_text for r in rows}
     assert texts["pretty.json"] == TEXTS["pretty"][0]
@@ -105,18 +116,41 @@ def test_root_has_to_be_absolute(spark):
 @pytest.mark.parametrize("hold", ["table", "persist", "none"])
 def test_job_writes_each_side_and_can_run_again(spark, tree, tmp_path, hold):
     silver, garbage = str(tmp_path / "silver"), str(tmp_path / "garbage")
-    expected_copies = sum(len(issues) for text, issues in TEXTS.values() if text)
+    expected_copies = sum(len(issues) for _, issues in TEXTS.values())
     expected_clean = sum(not issues for _, issues in TEXTS.values()) + 1
     for _ in range(2):
         run_flat(spark, str(tree), silver, garbage, hold)
-        copies = spark.read.json(garbage)
+        copies = read_flat_garbage(spark, garbage)
         assert copies.count() == expected_copies
-        assert spark.read.text(silver).count() == expected_clean
+        assert read_flat_silver(spark, silver).count() == expected_clean
     one = copies.filter("file_name = 'negnull.json'").select("issue", "event_text").collect()
     assert sorted(r.issue for r in one) == sorted(TEXTS["negnull"][1])
     assert {r.event_text for r in one} == {TEXTS["negnull"][0]}
-    (line,) = [json.loads(l) for p in Path(silver, "bank_dir=bank_c", "channel_dir=pos").glob("*.json") for l in p.open()]
-    assert line == BASE | {"file_name": "one.json"}
+    lines = [json.loads(l) for p in Path(silver).glob("run=*/bank_dir=bank_c/channel_dir=pos/*.json") for l in p.open()]
+    assert lines == [{"file_name": "one.json", "event": BASE}] * 2
+
+
+def test_a_run_keeps_the_events_of_other_files_and_replaces_its_own(spark, tree, tmp_path):
+    silver, garbage = str(tmp_path / "silver"), str(tmp_path / "garbage")
+    one = tree / "bank_c" / "pos" / "one.json"
+    run_flat(spark, str(tree), silver, garbage)
+    one.rename(tmp_path / "away.json")
+    (tree / "bank_c" / "pos" / "two.json").write_text(json.dumps(BASE | {"transaction_id": "second"}))
+    (tree / "bank a+b" / "atm" / "ok.json").write_text(json.dumps(BASE | {"transaction_id": "new"}))
+    run_flat(spark, str(tree), silver, garbage)
+    rows = read_flat_silver(spark, silver).collect()
+    found = {(r.bank_dir, r.file_name): r.transaction_id for r in rows}
+    assert len(rows) == len(found)
+    assert found["bank_c", "one.json"] == "t" and found["bank_c", "two.json"] == "second" and found["bank a+b", "ok.json"] == "new"
+
+
+def test_hidden_event_files_are_named_and_empty_folders_counted(spark, tree):
+    (tree / "bank_d" / "web").mkdir(parents=True)
+    counts = {(r.bank_dir, r.channel_dir): r.n for r in counts_per_folder(scan_flat_files(spark, str(tree)), flat_folders(spark, str(tree))).collect()}
+    assert counts == {("bank a+b", "atm"): len(TEXTS), ("bank_c", "pos"): 1, ("bank_d", "web"): 0}
+    (tree / "bank_c" / "pos" / "_hidden.json").write_text("{}")
+    with pytest.raises(UnreadableFiles, match="bank_c/pos/_hidden.json"):
+        scan_flat_files(spark, str(tree))
 
 
 def test_canonical_keeps_json_types_and_drops_other_fields(spark):

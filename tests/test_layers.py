@@ -16,11 +16,13 @@ from sluicebox.operators.silver import to_silver
 from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.plans.report import build_report
 from sluicebox.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
+from sluicebox.session import shared_folder
 from sluicebox.sinks.fan_out import Sink, fan_out, held
 from sluicebox.sinks.files import export_banks_csv, laid_out, write_csv, write_garbage, write_silver
 from sluicebox.sources.layers import (
     LayerNotReady,
     read_bronze,
+    read_csv_rows,
     read_garbage,
     read_garbage_if_any,
     read_required,
@@ -92,6 +94,11 @@ def test_a_required_layer_that_is_missing_is_named(spark, layers, tmp_path):
     with pytest.raises(LayerNotReady, match="bronze"):
         read_required(spark, missing, layers.silver)
     assert read_required(spark, layers.bronze, layers.silver)[1].columns == SILVER_COLUMNS
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(LayerNotReady, match="bronze"):
+        read_required(spark, str(tmp_path / "empty"), layers.silver)
+    with pytest.raises(LayerNotReady, match="silver"):
+        read_required(spark, layers.bronze, str(tmp_path / "empty"))
 
 
 def test_empty_csv_still_has_a_header(spark, tmp_path):
@@ -108,7 +115,7 @@ def test_csv_replaces_the_previous_one_and_can_be_one_file(spark, tmp_path):
     assert len(list(path.glob("*.csv"))) == 4
     write_csv(rows, str(path), single_file=True)
     assert len(list(path.glob("*.csv"))) == 1
-    back = spark.read.schema(SILVER_SCHEMA).option("header", "true").csv(str(path))
+    back = read_csv_rows(spark, str(path))
     assert back.select("transaction_id", "amount").subtract(rows.select("transaction_id", "amount")).count() == 0
     first = next(path.glob("*.csv")).read_text().splitlines()[1]
     assert ',,"",CLEAN,' in first  # a null card is nothing, an empty status is quoted
@@ -130,7 +137,7 @@ def test_batch_job_routes_every_row_once(spark, layers, bronze, tmp_path, hold):
     results = run_refine(spark, layers.bronze, targets, hold=hold)
     assert [(r.name, r.ok) for r in results] == [("silver", True), ("garbage", True), ("csv", True)]
     silver, garbage = read_silver(spark, targets.silver), read_garbage(spark, targets.garbage)
-    csv = spark.read.schema(SILVER_SCHEMA).option("header", "true").csv(targets.csv)
+    csv = read_csv_rows(spark, targets.csv)
     assert silver.count() + garbage.count() == bronze.count()
     assert silver.count() == csv.count() == clean_rows(to_silver(bronze, AS_OF)).count()
     stamps = silver.unionAll(garbage).unionAll(csv).select("processed_at").distinct()
@@ -209,10 +216,28 @@ def test_rebalancing_needs_adaptive_execution(spark, layers):
     assert "Exchange" in laid_out(frame, ["bank_id"], "rebalance")._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = laid_out(frame, ["bank_id"], "rebalance")._jdf.queryExecution().executedPlan().toString()
+        with pytest.raises(ValueError, match="adaptive"):
+            laid_out(frame, ["bank_id"], "rebalance")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "Exchange" not in plan
+
+
+def test_texts_and_microseconds_survive_csv_and_json(spark, tmp_path):
+    texts = [" a ", 'say "x", y', "two\nlines", "back\\slash", ""]
+    rows = silver_rows(spark, [(str(i), "B", "ATM", "CLEAN") for i in range(len(texts))])
+    at = F.lit("2026-01-01 00:00:00.123456").cast("timestamp")
+    status = F.element_at(F.array(*[F.lit(t) for t in texts]), F.col("transaction_id").cast("int") + 1)
+    rows = rows.withColumns({"status": status, "processed_at": at})
+    write_csv(rows, str(tmp_path / "c"), single_file=True)
+    write_garbage(rows, str(tmp_path / "g"))
+    for back in (read_csv_rows(spark, str(tmp_path / "c")), read_garbage(spark, str(tmp_path / "g"))):
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_a_folder_for_intermediate_data_has_to_be_named(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda *a, **k: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(spark, "x")
 
 
 def test_report(spark, layers):

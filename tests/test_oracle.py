@@ -8,6 +8,8 @@ import pytest
 from conftest import SF_ORACLE
 
 from __spark_entry__ import oracle_sql, queries
+from sluicebox.catalog.oracle import ORACLE
+from sluicebox.catalog.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
@@ -40,10 +42,11 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_expected_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     frame = queries()[name](spark, SF_ORACLE)
     got = [tuple(r) for r in frame.collect()]
