@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import whole_text
@@ -233,15 +233,18 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaking(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all columns; each text is judged by itself, row by row."""
-    kept = documents
-    for block in benchmark_blocks(benchmark):
+    def free_of(block: Block) -> Column:
         shared = documents.sparkSession.sparkContext.broadcast(block)
 
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:  # noqa: ANN001
+        def clean(texts: pd.Series) -> pd.Series:
             good = np.ones(len(texts), bool)
             for start, part in _chunks(texts.tolist()):
                 good[[start + x for x, *_ in _leaks_in(part, shared.value)]] = False
             return pd.Series(good)
 
-        kept = kept.where(F.pandas_udf(clean, "boolean")(whole_text()))
+        return F.pandas_udf(clean, "boolean")(whole_text())
+
+    kept = documents
+    for block in benchmark_blocks(benchmark):
+        kept = kept.where(free_of(block))
     return kept
