@@ -142,5 +142,5 @@ def chat_digest(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) -
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
         "valid",
-        "wrong_at",
+        F.coalesce("wrong_at", F.lit(-1)).alias("wrong_at"),
     )

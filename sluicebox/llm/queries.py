@@ -99,6 +99,6 @@ LLM_ORACLE: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
             sum(role_chars + text_chars + 6 + 1 + 8)::BIGINT AS formatted_chars,
             (min(wrong) IS NULL AND arg_max(role, n) = 'assistant') AS valid,
-            min(wrong)::INTEGER AS wrong_at
+            coalesce(min(wrong), -1)::INTEGER AS wrong_at
         FROM checked GROUP BY conv_id""",
 }

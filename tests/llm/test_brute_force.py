@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import duckdb
 import numpy as np
@@ -157,10 +158,15 @@ def test_pieces_without_dropout_are_the_model_s(texts):
         assert plain.encode(text) == model.encode(text)
 
 
+@cache
+def vocabulary_of_the_model():
+    return sp.Vocabulary.load(sp.default_model())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"])), st.integers(0, 5))
 def test_pieces_decode_to_the_text(text, seed):
-    vocabulary = test_pieces_decode_to_the_text.__dict__.setdefault("v", sp.Vocabulary.load(sp.default_model()))
+    vocabulary = vocabulary_of_the_model()
     encoder = sp.Encoder(vocabulary, 0.3, seed)
     numbers = encoder.encode(text, "k")
     assert sp.decode(numbers, vocabulary) == text and numbers == sp.Encoder(vocabulary, 0.3, seed).encode(text, "k")
