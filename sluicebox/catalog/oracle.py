@@ -221,6 +221,18 @@ ORACLE: dict[str, str] = {
     "silver_stream_restart": _scored(f"SELECT {_SILVER} FROM scored UNION ALL SELECT {_SILVER} FROM scored"),
     "silver_stream": _scored(f"""
         SELECT CASE WHEN quality_score = 'CLEAN' THEN 'silver' ELSE 'garbage' END AS layer, {_SILVER} FROM scored"""),
+    "fan_out_status": _scored("""
+        SELECT 'silver' AS sink, true AS ok, count(*) AS rows FROM clean
+        UNION ALL SELECT 'csv', true, count(*) FROM clean
+        UNION ALL SELECT 'garbage', true, count(*) FROM rejected
+        UNION ALL SELECT 'feed', false, 0"""),
+    "report_figures": _scored(f"""
+        SELECT count(*) AS total_bronze, count(*) FILTER (WHERE quality_score = 'CLEAN') AS total_silver,
+          count(*) FILTER (WHERE quality_score <> 'CLEAN') AS total_garbage,
+          count(DISTINCT CASE WHEN quality_score = 'CLEAN' THEN bank_id END) AS active_banks, max({_AS_OF}) AS last_processed,
+          count(*) FILTER (WHERE quality_score = 'CLEAN') / count(*) * 100 AS health_rate,
+          strftime(max({_AS_OF}), '%H:%M:%S') AS last_pulse
+        FROM scored"""),
     "layer_counts": _scored("""
         SELECT 'bronze' AS layer, count(*) AS n FROM scored
         UNION ALL SELECT 'silver' AS layer, count(*) AS n FROM clean

@@ -25,6 +25,8 @@ from sluicebox.operators.bronze import matching_topics, to_bronze
 from sluicebox.operators.feed import clean_feed, publish_frame, unroutable
 from sluicebox.operators.routing import clean_rows, rejected_rows, route_counts
 from sluicebox.operators.silver import add_quality, flatten, parse_events, parse_once, to_silver
+from sluicebox.plans.refine import Targets, run_refine
+from sluicebox.plans.report import build_report
 from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from sluicebox.session import make_folder, shared_folder
 from sluicebox.sinks.files import (
@@ -324,6 +326,28 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(sides[0].unionAll(sides[1]))
 
 
+@query("fan_out_status")
+def fan_out_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sink of a batch run, whether it succeeded, and its rows; the broker of the optional feed is away."""
+    base = shared_folder(spark, "fan-out")
+    targets = Targets(f"{base}/silver", f"{base}/garbage", feed_servers="nowhere:1", csv=f"{base}/csv")
+    results = run_refine(spark, stored_layers(spark, sf_dir).bronze, targets, AS_OF)
+    written = {
+        "silver": read_silver(spark, targets.silver), "garbage": read_garbage(spark, targets.garbage),
+        "csv": read_csv_rows(spark, targets.csv),
+    }
+    counts = metrics.layer_counts(**written).select(F.col("layer").alias("sink"), F.col("n").alias("rows"))
+    states = spark.createDataFrame([(r.name, r.ok) for r in results], "sink STRING, ok BOOLEAN")
+    return states.join(counts, "sink", "left").select("sink", "ok", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+@query("report_figures")
+def report_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitor's row over layers that have to be there."""
+    layers = stored_layers(spark, sf_dir)
+    return _comparable(build_report(spark, layers.bronze, layers.silver, layers.garbage).figures)
+
+
 # Metrics
 
 
