@@ -17,6 +17,7 @@ import numpy as np
 
 MEMORY_ENTRIES = 4_000_000  # a longer run goes to disk
 NOTHING = np.int64(1 << 62)
+BYTE_FAR, FAR = 8_000, 1 << 40  # beyond all keys; doubled, they still fit their types
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -32,8 +33,8 @@ def kept(array: np.ndarray, folder: str) -> np.ndarray:
 class RunQueue:
     """A priority queue of tuples (key, position, common prefix): sorted runs, the older one first among equal keys."""
 
-    def __init__(self, folder: str) -> None:
-        self.folder = folder
+    def __init__(self, folder: str, kind: np.dtype) -> None:
+        self.folder, self.kind = folder, kind
         self.runs: list[list[np.ndarray]] = []
 
     def push(self, keys: np.ndarray, positions: np.ndarray, prefixes: np.ndarray) -> None:
@@ -51,7 +52,7 @@ class RunQueue:
         heads = [[x[:most] for x in run] for run in self.runs]
         if not heads:
             none = np.zeros(0, np.int64)
-            return none, none, none, none
+            return np.zeros(0, self.kind), none, none, none
         keys, positions, prefixes = (np.concatenate(x) for x in zip(*heads, strict=True))
         source = np.repeat(np.arange(len(heads)), [len(h[0]) for h in heads])
         order = np.argsort(keys, kind="stable")[:most]
@@ -86,12 +87,13 @@ def induce(
     prefix of each stream entry with the one before. alike: length of the run of equal characters at each position.
     Returns positions, whether each came from the queue, and common prefixes (zeros without ``shared``).
     """
-    queue, carry = RunQueue(folder), None
+    queue, carry = RunQueue(folder, key.dtype), None
     with_prefix = shared is not None
     if with_prefix:
         carry = np.zeros(int(key.max()) - int(key.min()) + 1, np.int64)
         lowest = int(key.min())
     out_position, out_queue, out_prefix = [], [], []
+    far = key.dtype.type(BYTE_FAR if key.dtype == np.int16 else FAR)  # short keys are sorted by their digits
     at, most = 0, 1024
     last_key, last_position, last_queue = None, 0, False
     while True:
@@ -115,7 +117,7 @@ def induce(
         from_queue = order < len(qk)
         keys = np.concatenate([qk * 2, sk * 2 + 1])[order]
         pushing = pushes[positions]
-        pushed = np.where(pushing, key[np.maximum(positions - 1, 0)], NOTHING // 4)
+        pushed = np.where(pushing, key[np.maximum(positions - 1, 0)], far)
         soonest = np.minimum.accumulate(pushed)
         unsafe = np.flatnonzero(keys[1:] > 2 * soonest[:-1])
         take = int(unsafe[0]) + 1 if len(unsafe) else len(keys)
@@ -125,7 +127,7 @@ def induce(
         char = keys >> 1
         if with_prefix:
             prefix = np.concatenate([qx, shared[at : at + len(sp)]])[order]
-            before_char = np.concatenate([[last_key if last_key is not None else -NOTHING], char[:-1]])
+            before_char = np.concatenate([[last_key if last_key is not None else -NOTHING], char[:-1].astype(np.int64)])
             before_queue = np.concatenate([[last_queue], from_queue[:-1]])
             before_position = np.concatenate([[last_position], positions[:-1]])
             turn = before_queue & ~from_queue
@@ -143,7 +145,7 @@ def induce(
         if with_prefix:
             least = int(prefix.min())
             if len(index):
-                slot = new_key - lowest
+                slot = new_key.astype(np.int64) - lowest
                 same = np.flatnonzero(slot[1:] == slot[:-1]) + 1
                 new_prefix[same] = 1 + range_minimum(prefix, index[same - 1] + 1, index[same])
                 heads = np.setdiff1d(np.arange(len(index)), same, assume_unique=True)
@@ -257,9 +259,9 @@ def suffixes_with_prefixes(pieces: list[bytes], most: int, folder: str = "") ->
     sizes = np.array([len(p) + 1 for p in pieces], np.int64)
     raw = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
     starts = np.cumsum(sizes) - sizes
-    text = raw.astype(np.int64) + 2
+    text = raw.astype(np.int16) + np.int16(2)
     text[starts + sizes - 1] = 1
-    text = np.append(text, 0)
+    text = np.append(text, np.int16(0))
     s = types(text)
     lms = sorted_lms(text, s, folder)
     # The joint of two pieces counts as a character here; prefixes across it only concern suffixes shorter than ``most``.

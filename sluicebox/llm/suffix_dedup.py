@@ -2,11 +2,12 @@
 
 1. Anchors. Each window of ``WINDOW`` bytes names its least ``GRAM``-byte string by hash, so equal windows name equal ones.
    Hashes that occur once in all distinct texts cannot belong to a repeated window; windows of the others are candidates.
-2. Shards. The candidate windows of an anchor, with the bytes they need, go to the shard of the anchor's hash, so all
-   windows that are equal meet. Anchors with more than ``HOT`` places are dealt finer, by the bytes that a few neighbouring
-   windows have in common, and equal pieces are added up before the shuffle: the first stays, the others are repeats.
-3. Each shard sorts its pieces by external induced sorting (see ``induced``); neighbours with a common prefix of a window or
-   more are equal windows, and all but the earliest are repeats.
+2. Shards. The candidate windows of an anchor, with the bytes they need, go to one shard, so all windows that are equal
+   meet. The shard follows from the least key among the texts that hold the anchor: neighbouring anchors mostly have the
+   same one, and their pieces travel and are sorted as one stretch. Anchors with more than ``HOT`` places are dealt finer,
+   by the bytes that a few neighbouring windows have in common.
+3. Each shard sorts its pieces by external induced sorting (see ``induced``), equal pieces once; neighbours with a common
+   prefix of a window or more are equal windows, and all but the earliest are repeats.
 4. Repeats go back to their texts, where the bytes that they cover are removed.
 
 Earlier means: smaller doc_id, then the hash of the text, then the start. Defined results: null texts count as empty; rows
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import written
@@ -32,7 +33,7 @@ from sluicebox.llm.near_dup import Powers, mix
 
 WINDOW, GRAM = 100, 40
 SPAN = WINDOW - GRAM + 1  # grams in a window
-HOT = 1_000
+HOT = 200
 FINE = 8  # windows of a hot anchor that are dealt together
 CHUNK_BYTES = 1_000_000
 SHARD_BYTES = 4_000_000
@@ -90,8 +91,10 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable")
-    cut = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else []
+    cut = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
     for a, b in zip(cut, [*cut[1:], len(keys)], strict=True):
         yield int(keys[order[a]]), order[a:b]
 
@@ -117,7 +120,7 @@ def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
 
 
 def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: per text the places of anchors whose hash has several places, and which of them are hot."""
+    """Of one bucket: per text the places of anchors whose hash has several places, which are hot, and what deals the others."""
     def joined(name: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(rows[name]), kind)
 
@@ -128,21 +131,23 @@ def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
     own = np.ones(len(key), bool)  # equal texts have equal keys, and their anchors count once
     own[1:] = (hashed[1:] != hashed[:-1]) | (key[1:] != key[:-1]) | (place[1:] != place[:-1])
     key, hashed, place = key[own], hashed[own], place[own]
-    _, group, count = np.unique(hashed, return_inverse=True, return_counts=True)
+    _, first, group, count = np.unique(hashed, return_index=True, return_inverse=True, return_counts=True)
+    least = key[first][group]  # within a hash, keys ascend
     several = count[group] > 1
-    key, place, hot = key[several], place[several], count[group][several] > HOT
-    found = [(k, place[at].tobytes(), hot[at].tobytes()) for k, at in _groups(key)]
-    return pd.DataFrame(found, columns=["key", "places", "hot"])
+    key, place, hot, least = key[several], place[several], count[group][several] > HOT, least[several]
+    deals = np.where(hot, 0, mix(least.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+    found = [(k, place[at].tobytes(), hot[at].tobytes(), deals[at].tobytes()) for k, at in _groups(key)]
+    return pd.DataFrame(found, columns=["key", "places", "hot", "deals"])
 
 
-def _pieces(raw: bytes, runs: list[np.ndarray], shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pieces(raw: bytes, runs: list[np.ndarray], shared: np.ndarray, hot: np.ndarray, deals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last window and dealing hash of each piece of one text."""
     lo, hi, place, hashed = runs
     at = np.searchsorted(shared, place)
     at = np.minimum(at, len(shared) - 1)
     mine = shared[at] == place
-    lo, hi, place, hashed, warm = lo[mine], hi[mine], place[mine], hashed[mine], hot[at[mine]]
-    first, last, deal = [lo[~warm]], [hi[~warm]], [hashed[~warm]]
+    lo, hi, place, hashed, warm, owner = lo[mine], hi[mine], place[mine], hashed[mine], hot[at[mine]], deals[at[mine]]
+    first, last, deal = [lo[~warm]], [hi[~warm]], [owner[~warm].astype(np.uint64) << np.uint64(16)]
     for a, b, p, h in zip(lo[warm], hi[warm], place[warm], hashed[warm], strict=True):
         # Pieces start at fixed distances from the anchor, so equal windows are in equal pieces.
         edges = [a, *range(int(p) - (int(p) - int(a)) // FINE * FINE, int(b) + 1, FINE), int(b) + 1]
@@ -156,11 +161,11 @@ def _pieces(raw: bytes, runs: list[np.ndarray], shared: np.ndarray, hot: np.ndar
     return np.concatenate(first).astype(np.int64), np.concatenate(last).astype(np.int64), np.concatenate([np.asarray(d, np.uint64) for d in deal])
 
 
-PIECE = "shard int, owner binary, first binary, sizes binary, windows binary, bytes binary"
+PIECE = "shard int, owner binary, first binary, windows binary, follows binary, bytes binary"
 
 
 def piece_rows(candidates: DataFrame, shards: int) -> DataFrame:
-    """Pieces packed per shard and chunk; of equal hot pieces in a chunk the earliest, the others come back as repeats."""
+    """Pieces packed per shard and chunk; one that follows another of its text brings only the bytes that are new."""
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
         for batch in batches:
@@ -169,11 +174,11 @@ def piece_rows(candidates: DataFrame, shards: int) -> DataFrame:
                 text, lo, hi, place, hashed = window_anchors(part, powers)
                 cut = np.searchsorted(text, np.arange(len(part) + 1))
                 owner, first, last, deal = [], [], [], []
-                for i, (shared, hot) in enumerate(zip(rows["places"], rows["hot"], strict=True)):
+                for i, (shared, hot, deals) in enumerate(zip(rows["places"], rows["hot"], rows["deals"], strict=True)):
                     marks = np.frombuffer(shared, np.uint32).astype(np.int64)
                     order = np.argsort(marks, kind="stable")
                     runs = [x[cut[i] : cut[i + 1]] for x in (lo, hi, place, hashed)]
-                    f, e, d = _pieces(part[i], runs, marks[order], np.frombuffer(hot, bool)[order])
+                    f, e, d = _pieces(part[i], runs, marks[order], np.frombuffer(hot, bool)[order], np.frombuffer(deals, np.uint32)[order])
                     owner.append(np.full(len(f), i)), first.append(f), last.append(e), deal.append(d)
                 if not owner:
                     continue
@@ -181,14 +186,16 @@ def piece_rows(candidates: DataFrame, shards: int) -> DataFrame:
                 ids, keys = rows["doc_id"].to_numpy(np.int64), rows["key"].to_numpy(np.int64)
                 out = []
                 for shard, at in _groups((deal >> np.uint64(16)).astype(np.int64) % shards):
-                    names = np.stack([ids[owner[at]], keys[owner[at]]], axis=1)
-                    stretch = [part[o][f : e + WINDOW] for o, f, e in zip(owner[at], first[at], last[at], strict=True)]
-                    sizes = np.array([len(x) for x in stretch], np.uint32)
+                    at = at[np.lexsort((first[at], owner[at]))]
+                    o, f, e = owner[at], first[at], last[at]
+                    follows = np.zeros(len(at), bool)
+                    follows[1:] = (o[1:] == o[:-1]) & (f[1:] == e[:-1] + 1)
+                    new = [part[x][a:b] for x, a, b in zip(o.tolist(), (f + follows * (WINDOW - 1)).tolist(), (e + WINDOW).tolist(), strict=True)]
+                    names = np.stack([ids[o], keys[o]], axis=1)
                     out.append((
-                        shard, names.tobytes(), first[at].tobytes(), sizes.tobytes(), (last[at] - first[at] + 1).astype(np.uint32).tobytes(),
-                        b"".join(stretch),
+                        shard, names.tobytes(), f.tobytes(), (e - f + 1).astype(np.uint32).tobytes(), follows.tobytes(), b"".join(new)
                     ))
-                yield pd.DataFrame(out, columns=["shard", "owner", "first", "sizes", "windows", "bytes"])
+                yield pd.DataFrame(out, columns=["shard", "owner", "first", "windows", "follows", "bytes"])
 
     return candidates.mapInPandas(compute, PIECE)
 
@@ -197,11 +204,11 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one shard: the runs of repeated windows of each text."""
     names = np.frombuffer(b"".join(rows["owner"]), np.int64).reshape(-1, 2)
     first = np.frombuffer(b"".join(rows["first"]), np.int64)
-    sizes = np.frombuffer(b"".join(rows["sizes"]), np.uint32).astype(np.int64)
     windows = np.frombuffer(b"".join(rows["windows"]), np.uint32).astype(np.int64)
+    follows = np.frombuffer(b"".join(rows["follows"]), bool)
     joined = b"".join(rows["bytes"])
-    begins = np.cumsum(sizes) - sizes
-    pieces = [joined[a : a + n] for a, n in zip(begins, sizes, strict=True)]
+    ends = np.cumsum(windows + np.where(follows, 0, WINDOW - 1))
+    pieces = [joined[a:b] for a, b in zip((ends - windows - WINDOW + 1).tolist(), ends.tolist(), strict=True)]
     rank = np.empty(len(pieces), np.int64)
     earliest_first = np.lexsort((first, names[:, 1], names[:, 0]))
     rank[earliest_first] = np.arange(len(pieces))
@@ -213,14 +220,20 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
             chosen.append(i)
         else:
             copies.append(i)
+    # Chosen pieces that follow each other in a text are sorted as one stretch.
+    at = np.array(chosen, np.int64)  # by text and start already
+    heads = np.ones(len(at), bool)
+    heads[1:] = (names[at[1:]] != names[at[:-1]]).any(1) | (first[at[1:]] != first[at[:-1]] + windows[at[:-1]])
+    head = np.flatnonzero(heads)
+    ends = np.append(head[1:], len(at))
+    stretches = [b"".join([pieces[i][: windows[i]] for i in at[a : b - 1]] + [pieces[at[b - 1]]]) for a, b in zip(head, ends, strict=True)]
     with tempfile.TemporaryDirectory() as scratch:
-        falling, prefix, starts = suffixes_with_prefixes([pieces[i] for i in chosen], WINDOW, scratch)
-        piece_of = np.searchsorted(starts, falling, "right") - 1
-        offset = falling - starts[piece_of]
-        chosen_at = np.array(chosen, np.int64)
+        falling, prefix, starts = suffixes_with_prefixes(stretches, WINDOW, scratch)
+        stretch_of = np.searchsorted(starts, falling, "right") - 1
+        offset = falling - starts[stretch_of]
         group = np.cumsum(prefix < WINDOW)
-    own = chosen_at[piece_of]
-    valid = offset < windows[own]
+    own = at[head][stretch_of]
+    valid = offset < np.add.reduceat(windows[at], head)[stretch_of]
     own, offset, group = own[valid], offset[valid], group[valid]
     order = np.lexsort((first[own] + offset, rank[own], group))
     own, offset, group = own[order], offset[order], group[order]
@@ -272,15 +285,21 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     keyed = rows.select("doc_id", F.xxhash64("raw").alias("key"), "raw")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = anchor_rows(keyed, buckets)
-    found = packed.groupBy("bucket").applyInPandas(_shared_anchors, "key long, places binary, hot binary")
+    found = packed.groupBy("bucket").applyInPandas(_shared_anchors, "key long, places binary, hot binary, deals binary")
     marks = written(found, "anchors")
     firsts = keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     marked = written(marks.select("key").distinct().join(firsts, "key").select("doc_id", "key"), "marked")
-    places = marks.groupBy("key").agg(F.array_join(F.collect_list(F.hex("places")), "").alias("p"), F.array_join(F.collect_list(F.hex("hot")), "").alias("h"))
+    # Struct lists keep the parts of a text in one order.
+    parts = marks.groupBy("key").agg(F.collect_list(F.struct("places", "hot", "deals")).alias("parts"))
+
+    def joined(name: str) -> Column:
+        return F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p[name])), "")).alias(name)
+
+    places = parts.select("key", joined("places"), joined("hot"), joined("deals"))
     texts = _by_id(keyed, marked).dropDuplicates(["doc_id", "key"])
-    candidates = written(texts.join(places.select("key", F.unhex("p").alias("places"), F.unhex("h").alias("hot")), "key"), "candidates")
+    candidates = written(texts.join(places, "key"), "candidates")
     size = candidates.select(F.sum(F.octet_length("places")).alias("n")).first()["n"] or 0
-    shards = max(1, size // 4 * (WINDOW + 2 * SPAN // 3) // SHARD_BYTES)
+    shards = max(1, size // 4 * GRAM // SHARD_BYTES)  # about as many bytes as windows between anchors
     repeats = piece_rows(candidates, shards).groupBy("shard").applyInPandas(_repeats, "doc_id long, key long, repeats binary")
     gathered = written(repeats, "repeats").groupBy("doc_id", "key").agg(F.collect_list("repeats").alias("repeats"))
 
