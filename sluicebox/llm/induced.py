@@ -17,6 +17,7 @@ import numpy as np
 
 MEMORY_ENTRIES = 4_000_000  # a longer run goes to disk
 NOTHING = np.int64(1 << 62)
+NO_PREFIX = np.zeros(0, np.int64)
 BYTE_FAR, FAR = 8_000, 1 << 40  # beyond all keys; doubled, they still fit their types
 FACTOR = 0x9E3779B97F4A7C15
 
@@ -40,11 +41,11 @@ class RunQueue:
     def push(self, keys: np.ndarray, positions: np.ndarray, prefixes: np.ndarray) -> None:
         """A run sorted by key is added; runs of similar length merge, so their number stays logarithmic."""
         run = [keys, positions, prefixes]
-        while self.runs and len(self.runs[-1][0]) <= 2 * len(run[0]):
+        while self.runs and len(self.runs[-1][0]) <= 4 * len(run[0]):
             older = self.runs.pop()
             joined = [np.concatenate(x) for x in zip(older, run, strict=True)]
             order = np.argsort(joined[0], kind="stable")
-            run = [x[order] for x in joined]
+            run = [x[order] if len(x) else x for x in joined]
         self.runs.append([kept(x, self.folder) for x in run])
 
     def first(self, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -53,14 +54,16 @@ class RunQueue:
         if not heads:
             none = np.zeros(0, np.int64)
             return np.zeros(0, self.kind), none, none, none
+        if len(heads) == 1:
+            return *heads[0], np.zeros(len(heads[0][0]), np.int64)
         keys, positions, prefixes = (np.concatenate(x) for x in zip(*heads, strict=True))
         source = np.repeat(np.arange(len(heads)), [len(h[0]) for h in heads])
         order = np.argsort(keys, kind="stable")[:most]
-        return keys[order], positions[order], prefixes[order], source[order]
+        return keys[order], positions[order], prefixes[order] if len(prefixes) else prefixes, source[order]
 
     def drop(self, source: np.ndarray) -> None:
         used = np.bincount(source, minlength=len(self.runs))
-        cut = [[x[n:] for x in run] if n else run for run, n in zip(self.runs, used, strict=True)]
+        cut = [[x[n:] for x in run] if n else run for run, n in zip(self.runs, used.tolist(), strict=True)]
         self.runs = [run for run in cut if len(run[0])]
 
 
@@ -85,7 +88,7 @@ def induce(
 
     key: sort key of each position, ascending. pushes[p]: whether the suffix before p belongs to this pass. shared: common
     prefix of each stream entry with the one before. alike: length of the run of equal characters at each position.
-    Returns positions, whether each came from the queue, and common prefixes (zeros without ``shared``).
+    Returns positions, whether each came from the queue, and common prefixes (none without ``shared``).
     """
     queue, carry = RunQueue(folder, key.dtype), None
     with_prefix = shared is not None
@@ -112,18 +115,19 @@ def induce(
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         if bound < NOTHING:
-            order = order[: max(1, int(np.searchsorted(keys, bound, "right")))]
+            keys = keys[: max(1, int(np.searchsorted(keys, bound, "right")))]
+            order = order[: len(keys)]
         positions = np.concatenate([qp, sp])[order]
         from_queue = order < len(qk)
-        keys = np.concatenate([qk * 2, sk * 2 + 1])[order]
-        pushing = pushes[positions]
-        pushed = np.where(pushing, key[np.maximum(positions - 1, 0)], far)
+        pushing = pushes[positions]  # never at the first position
+        pushed = np.where(pushing, key[positions - 1], far)
         soonest = np.minimum.accumulate(pushed)
         unsafe = np.flatnonzero(keys[1:] > 2 * soonest[:-1])
         take = int(unsafe[0]) + 1 if len(unsafe) else len(keys)
         most = int(min(max(1024, 2 * take), 1 << 18))
-        order, positions, from_queue, keys, pushing, pushed = (x[:take] for x in (order, positions, from_queue, keys, pushing, pushed))
-        prefix = np.zeros(take, np.int64)
+        if take < len(keys):
+            order, positions, from_queue, keys, pushing, pushed = (x[:take] for x in (order, positions, from_queue, keys, pushing, pushed))
+        prefix = NO_PREFIX
         char = keys >> 1
         if with_prefix:
             prefix = np.concatenate([qx, shared[at : at + len(sp)]])[order]
@@ -133,15 +137,17 @@ def induce(
             turn = before_queue & ~from_queue
             prefix = np.where(turn, np.minimum(alike[before_position], alike[positions]), prefix)
             prefix = np.where(before_char != char, 0, prefix)
-        queue.drop(source[order[from_queue]]) if from_queue.any() else None
-        at += int((~from_queue).sum())
+        used = int(from_queue.sum())
+        if used:
+            queue.drop(source[order[from_queue]])
+        at += take - used
         last_key, last_position, last_queue = int(char[-1]), int(positions[-1]), bool(from_queue[-1])
         index = np.flatnonzero(pushing)
         if len(index):
             by = np.argsort(pushed[index], kind="stable")
             index = index[by]
             new_key = pushed[index]
-            new_prefix = np.zeros(len(index), np.int64)
+            new_prefix = np.zeros(len(index), np.int64) if with_prefix else NO_PREFIX
         if with_prefix:
             least = int(prefix.min())
             if len(index):
@@ -187,8 +193,7 @@ def _passes(text: np.ndarray, s: np.ndarray, lms: np.ndarray, shared: np.ndarray
     before_s = np.concatenate([[False], s[:-1]])
     positions, queued, prefix = induce(lms, shared, text, before_l, alike, folder)
     falling = positions[queued][::-1]
-    rest = prefix[queued]
-    shared_falling = np.concatenate([[0], rest[1:][::-1]]) if shared is not None else None
+    shared_falling = np.concatenate([[0], prefix[queued][1:][::-1]]) if shared is not None else None
     positions, _, prefix = induce(falling, shared_falling, -text, before_s, alike, folder)
     return positions, prefix
 
