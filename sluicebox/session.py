@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -35,17 +34,17 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, **opti
     return builder.getOrCreate()
 
 
-_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+_folder: dict[str, str] = {}  # one for the process, as stream callbacks run in threads of their own
 
 
 def use_folder(path: str) -> None:
     """Names the folder for intermediate data where the session has no ``spark.checkpoint.dir``."""
-    _folder.set(path)
+    _folder["path"] = path
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the one every executor can reach: ``spark.checkpoint.dir``, or what ``use_folder`` names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _folder.get()
+    base = spark.conf.get("spark.checkpoint.dir", None) or _folder.get("path")
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share, or name one by use_folder")
     return f"{base.rstrip('/')}/sluicebox/{purpose}-{uuid.uuid4().hex}"

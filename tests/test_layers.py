@@ -236,6 +236,7 @@ def test_texts_and_microseconds_survive_csv_and_json(spark, tmp_path):
 
 def test_a_folder_for_intermediate_data_has_to_be_named(spark, monkeypatch):
     monkeypatch.setattr(type(spark.conf), "get", lambda *a, **k: None)
+    monkeypatch.setattr("sluicebox.session._folder", {})
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(spark, "x")
 
