@@ -2,42 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNSET_FOLDER = "sluicebox-llm-"
+from sluicebox.session import shared_folder
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, which every executor reaches.
-
-    Where that is unset (tests on one machine), a folder is made for the session and kept in its local properties.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = spark.sparkContext.getLocalProperty("sluicebox.llm.folder")
-        if not base:
-            base = tempfile.mkdtemp(prefix=UNSET_FOLDER)
-            spark.sparkContext.setLocalProperty("sluicebox.llm.folder", base)
-    return f"{base.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
-
-
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: lineage ends here, and a lost executor repeats nothing before it.
 
     The folder belongs to the job's shared area (``spark.checkpoint.dir``), as results are read lazily after the call.
     """
     spark = frame.sparkSession
-    path = shared_path(spark, purpose)
+    path = shared_folder(spark, f"llm-{purpose}")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -7,8 +7,8 @@ are verified by the exact probability Jaccard similarity of their shingle counts
 
 No bucket is expanded into all pairs. Members are compared with a leader first; links make classes; then other leaders are
 tried where a bucket still holds several classes. What is left is settled exactly: members outside a bucket's largest class
-are compared with every member of another class whose registers leave a link possible. So copies of one text, however
-many, cost one comparison each.
+are compared with every member of another class for which a link is possible by what each shares with the bucket's leader.
+So copies of one text, however many, cost one comparison each.
 
 Defined results: texts are lower-cased and split at white space; a text of one to four words is one shingle; equal
 texts are one class. Null and empty texts and texts of white space have no shingle; each stays a class of its own, named by
@@ -32,8 +32,6 @@ BANDS, ROWS = 16, 3
 REGISTERS = BANDS * ROWS
 CHUNK_BYTES = 1_000_000
 MOST_BROADCAST_ROWS = 1_000_000  # of eight bytes each; beyond it the same join shuffles
-# A pair at the least similarity agrees on fewer registers than this with probability below 1e-4.
-LEAST_AGREEING = 28
 TURNS = 3  # two more leaders, then everything that is left
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -120,7 +118,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """doc_id, text_key, bands (empty without shingles) and registers as bytes."""
+    """doc_id, text_key and bands (empty without shingles)."""
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
         for batch in batches:
@@ -135,16 +133,14 @@ def sketches(documents: DataFrame) -> DataFrame:
                     for r in range(ROWS):
                         key = mix(key * BASE + values[:, b * ROWS + r])
                     keys[:, b] = key
-                small = (values >> np.uint64(32)).astype(np.uint32)
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"], "text_key": part["text_key"],
                     "bands": [k.view(np.int64) if s else np.zeros(0, np.int64) for k, s in zip(keys, some, strict=True)],
-                    "registers": [x.tobytes() for x in small],
                 })
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     keyed = rows.withColumn("text_key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    return keyed.mapInPandas(compute, "doc_id long, text_key binary, bands array<long>, registers binary")
+    return keyed.mapInPandas(compute, "doc_id long, text_key binary, bands array<long>")
 
 
 def shingle_sets(documents: DataFrame) -> DataFrame:
@@ -232,30 +228,54 @@ def _leader_pairs(members: DataFrame, order: Column) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their classes, of buckets that hold more than one class."""
-    named = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    named = members.join(labels, "node", "left").select("key", "node", "popularity", F.coalesce("label", "node").alias("label"))
     several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     return named.join(several, "key", "left_semi")
 
 
-def _agreeing(left: Column, right: Column) -> Column:
-    """Registers on which two signatures agree, compared as eight hexadecimal digits each."""
-    def part(x: Column, i: int) -> Column:
-        return F.substring(x, 4 * i + 1, 4)
-
-    return sum(((part(left, i) == part(right, i)).cast("int") for i in range(REGISTERS)), F.lit(0))
-
-
-def _rest_pairs(members: DataFrame, registers: DataFrame) -> DataFrame:
-    """All pairs of different classes in a bucket, but those inside its largest class's complement twice, that can be links."""
-    sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
-    full = written(members.join(largest, "key").join(registers, "node"), "open")
-    minor = full.where("label <> largest").select("key", F.col("node").alias("u"), F.col("label").alias("ul"), F.col("registers").alias("ur"))
-    met = minor.join(full, "key").where(
-        (F.col("ul") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("u") < F.col("node")))
-    )
-    near = met.where(_agreeing(F.col("ur"), F.col("registers")) >= LEAST_AGREEING)
-    return near.select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
+def _against_hub(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of each hub and node: the size of the node's set, how much of it the hub has, the rest, and whether counts vary."""
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for hub, own, counts, hub_counts in zip(batch["hh"], batch["nh"], batch["nc"], batch["hc"], strict=True):
+                mine = np.frombuffer(own, np.uint32)
+                rest = mine[~np.isin(mine, np.frombuffer(hub, np.uint32))]
+                rows.append((len(mine), len(mine) - len(rest), rest.astype(np.int64), bool(counts or hub_counts)))
+            yield pd.DataFrame({
+                "hub": batch["hub"], "node": batch["node"], "size": [r[0] for r in rows], "common": [r[1] for r in rows],
+                "rest": [r[2] for r in rows], "weighted": [r[3] for r in rows],
+            })
+
+    of_hub = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hh"), F.col("counts").alias("hc"))
+    of_node = sets.select("node", F.col("hashes").alias("nh"), F.col("counts").alias("nc"))
+    joined = pairs.join(of_node, "node").join(of_hub, "hub").select("hub", "node", "hh", "hc", "nh", "nc")
+    return joined.mapInPandas(compare, "hub long, node long, size long, common long, rest array<long>, weighted boolean")
+
+
+def _rest_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of different classes of a bucket that can still be a link.
+
+    With the bucket's hub h, two sets share what both have of h, and what both have beside it. So if they share nothing
+    beside h, they can only be similar enough if each has enough of h for the sizes of both. All other pairs share an
+    element beside h and meet at that. Pairs with counts above one, for which sizes say less, are all kept. Pairs within
+    a class and pairs of two members of the largest class need no comparison.
+    """
+    hub = members.groupBy("key").agg(F.min(F.struct(-F.col("popularity"), "node"))["node"].alias("hub"))
+    grouped = members.join(hub, "key").select("hub", "node", "label").distinct()
+    sizes = grouped.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("hub").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+    stats = _against_hub(grouped.select("hub", "node"), sets)
+    full = written(grouped.join(largest, "hub").join(stats, ["hub", "node"]), "open")
+    minor = full.where("label <> largest").select("hub", *[F.col(c).alias(f"u_{c}") for c in ("node", "label", "size", "common", "weighted", "rest")])
+    different = (F.col("u_label") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("u_node") < F.col("node")))
+    enough = F.least("u_common", "common") * (1 + SIMILARITY) >= SIMILARITY * (F.col("u_size") + F.col("size"))
+    by_hub = minor.drop("u_rest").join(full.drop("rest"), "hub").where(different & (F.col("u_weighted") | F.col("weighted") | enough))
+    beside = minor.select("hub", "u_node", "u_label", F.explode("u_rest").alias("element")).join(
+        full.select("hub", "node", "label", "largest", F.explode("rest").alias("element")), ["hub", "element"]
+    ).where(different)
+    pairs = by_hub.select("u_node", "node").unionAll(beside.select("u_node", "node"))
+    return pairs.select(F.least("u_node", "node").alias("a"), F.greatest("u_node", "node").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -263,28 +283,31 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     sketched = written(sketches(documents), "sketches")
     texts = written(
         sketched.where(F.size("bands") > 0).groupBy("text_key").agg(
-            F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("registers").alias("registers")
+            F.min("doc_id").alias("node"), F.first("bands").alias("bands")
         ),
         "texts",
     )
     named = texts.where("node is not null")
     rows = named.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    members = written(rows.join(shared, "key", "left_semi"), "buckets")
-    nodes = written(members.select("node").distinct(), "nodes")
-    ids = F.broadcast(nodes) if nodes.count() <= MOST_BROADCAST_ROWS else nodes
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(rows.join(shared, "key"), "buckets")
+    # Nodes that share buckets with many make the best leaders: in a group of copies, what all were copied from.
+    nodes = written(members.groupBy("node").agg(F.sum("n").alias("popularity")), "nodes")
+    members = members.select("key", "node").join(nodes, "node")
+    small = nodes.count() <= MOST_BROADCAST_ROWS
+    ids = F.broadcast(nodes.select("node")) if small else nodes.select("node")
     texts_of = documents.select(F.col("doc_id").cast("long").alias("node"), whole_text().alias("text")).join(ids, "node", "left_semi")
     sets = written(shingle_sets(texts_of), "sets")
 
     alone = members.withColumn("label", F.col("node"))
-    links = written(verified(_leader_pairs(alone, F.col("node")), sets), "links")
+    links = written(verified(_leader_pairs(alone, -F.col("popularity")), sets), "links")
     labels = components(links)
     for turn in range(TURNS):
         still = written(_open(members, labels), "open")
         if not still.limit(1).count():
             break
         last = turn == TURNS - 1
-        pairs = _rest_pairs(still, named.select("node", "registers")) if last else _leader_pairs(still, F.xxhash64("node", F.lit(turn)))
+        pairs = _rest_pairs(still, sets) if last else _leader_pairs(still, F.xxhash64("node", F.lit(turn)))
         more = written(verified(pairs, sets), "links")
         if more.limit(1).count():
             links = links.unionAll(more)
