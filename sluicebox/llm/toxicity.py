@@ -296,7 +296,10 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored below the threshold, with all their columns; each text is judged by itself, row by row."""
-    _, lexicon, model = _learned(documents, labels)
+    sample = written(sampled_labels(labels), "toxicity-sample")
+    lexicon = learn_lexicon(documents, sample)
+    fitted_on = documents.join(sample.where("half = 1").select("doc_id"), "doc_id", "left_semi")
+    model = train(written(text_features(fitted_on, lexicon), "toxicity"), sample)
 
     def keep(texts: pd.Series) -> pd.Series:
         x = np.array([features_of(t, lexicon) for t in texts], float).reshape(len(texts), len(FEATURES))
