@@ -4,7 +4,8 @@ A text is cut where no piece of the vocabulary can reach across: before blanks t
 line breaks. Each unit is segmented by the agenda of a merge-type model: the best scored pair of neighbours, leftmost
 first, is merged until none is left. A popped merge is skipped where a keyed hash of seed, variant, unit and place falls below
 the dropout rate, so a seed always gives the same segmentation, and other seeds give others. Occurrences of a unit take
-one of ``variants`` variants by a keyed hash of document and place, which keeps segmentations of frequent words reusable.
+one of ``variants`` variants by a keyed hash of document and place; units of more than ``VARIED_CHARS`` characters have one
+variant for a seed. That keeps segmentations reusable.
 With rate 0 the pieces are those of the model itself.
 
 Decoding is exact for every text: characters without a piece, line breaks and a literal block mark (U+2581, which the
@@ -21,6 +22,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
@@ -30,11 +32,13 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.common import whole_text
 
-RATE, SEED, VARIANTS = 0.1, 17, 2
-REMEMBERED_UNITS = 180_000  # per variant and task process
+RATE, SEED, VARIANTS = 0.1, 17, 4
+VARIED_CHARS = 6  # longer units have one variant for a seed
+REMEMBERED_UNITS = 300_000  # of each of two generations in a task process
 MARK = "▁"
 UNIT = re.compile(r" *[^ \n]+| +|\n")
 NEVER, SHORT = float("inf"), 48
+ROWS_AT_ONCE = 500
 TURNS = 4093  # length of the keyed cycle of variants
 
 
@@ -79,9 +83,11 @@ def _merge_short(symbols: list[str], costs: dict[str, float], bar: int, key: int
         if least == NEVER:
             break
         i = cost.index(least)
-        if bar and _skipped(key, places[i], places[i + 1], bar):
-            cost[i] = NEVER
-            continue
+        if bar:
+            drawn = (key ^ (places[i] * 40503 + places[i + 1] * 10007)) * 0x9E3779B1 & 0xFFFFFFFF  # as in _skipped
+            if (drawn ^ drawn >> 15) * 0x2C1B3C6D >> 12 & 0x7FFFFFFF < bar:
+                cost[i] = NEVER
+                continue
         symbols[i] += symbols[i + 1]
         del symbols[i + 1], places[i + 1], cost[i]
         if i < len(cost):
@@ -132,30 +138,38 @@ class Encoder:
     rate: float = RATE
     seed: int = SEED
     variants: int = VARIANTS
-    known: list[dict[str, tuple[int, ...]]] = field(default_factory=list)
+    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
     turns: list[int] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         self.bar = int(self.rate * (1 << 31))
         self.keys = [crc32(b"%d:%d" % (self.seed, v)) for v in range(self.variants)]
-        self.known = [{} for _ in range(self.variants)]
-        self.turns = [crc32(b"%d:%d" % (self.seed, i)) % self.variants for i in range(TURNS)]
+        # A variant is one character in front of a unit, so that a unit and its variant are one key.
+        self.turns = [chr(48 + crc32(b"%d:%d" % (self.seed, i)) % self.variants) for i in range(TURNS)]
+
+    def remembered(self, key: str) -> tuple[int, ...]:
+        """Piece numbers of a variant and unit. What is still in use moves to the newer of two generations."""
+        found = self.older.get(key)
+        if found is None:
+            found = self.unit(key[1:], ord(key[0]) - 48)
+        if len(self.known) >= REMEMBERED_UNITS:
+            self.older, self.known = self.known, {}
+        self.known[key] = found
+        return found
 
     def unit(self, text: str, variant: int) -> tuple[int, ...]:
         """Piece numbers of one unit. It is cut first between characters that stand side by side in no piece."""
-        pairs, cuts = self.vocabulary.pairs, [0]
+        pairs = self.vocabulary.pairs
         shown = text.replace(" ", MARK)
-        cuts += [i for i in range(1, len(shown)) if shown[i - 1 : i + 1] not in pairs]
-        if len(cuts) == 1:
+        cuts = [i for i, pair in enumerate(map(str.__add__, shown, shown[1:]), 1) if pair not in pairs]
+        if not cuts:
             return self.atom(text, variant)
-        known = self.known[variant]
         out: list[int] = []
-        for i, j in zip(cuts, [*cuts[1:], len(text)], strict=True):
-            part = text[i:j]
-            found = known.get(part)
-            if found is None:
-                found = known[part] = self.atom(part, variant)
-            out.extend(found)
+        front = chr(48 + variant)
+        for i, j in zip([0, *cuts], [*cuts, len(text)], strict=True):
+            key = front + text[i:j]
+            out.extend(self.known.get(key) or (self.remembered(key) if j - i > 1 else self.atom(text[i:j], variant)))
         return tuple(out)
 
     def atom(self, text: str, variant: int) -> tuple[int, ...]:
@@ -181,18 +195,14 @@ class Encoder:
         if not text:
             return []
         at = crc32(key.encode(), self.seed & 0xFFFFFFFF) % TURNS
-        turns, known, out = self.turns, self.known, []
+        out: list[int] = []
         units = UNIT.findall(" " + text)
-        cycle = turns[at:] + turns[:at]
+        cycle = self.turns[at:] + self.turns[:at]
         if len(units) > TURNS:
             cycle = cycle * (len(units) // TURNS + 1)
         for unit, variant in zip(units, cycle):  # noqa: B905  the cycle is longer
-            found = known[variant].get(unit)
-            if found is None:
-                if len(known[variant]) >= REMEMBERED_UNITS:
-                    known[variant].clear()
-                found = known[variant][unit] = self.unit(unit, variant)
-            out.extend(found)
+            named = variant + unit if len(unit) <= VARIED_CHARS else "0" + unit
+            out.extend(self.known.get(named) or self.remembered(named))
         return out
 
 
@@ -201,6 +211,8 @@ def decode(numbers: list[int], vocabulary: Vocabulary) -> str:
     if not len(numbers):
         return ""
     first, pieces = vocabulary.first_byte, vocabulary.pieces
+    if min(numbers) >= first + 256:
+        return "".join(map(pieces.__getitem__, numbers)).replace(MARK, " ")[1:]
     parts: list[str] = []
     held = bytearray()
     for i in numbers:
@@ -246,9 +258,10 @@ def encode_documents(documents: DataFrame, model: str | None = None, rate: float
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared.value, rate, seed, variants)
         for batch in batches:
-            rows = zip(batch["key"], batch["text"], strict=True)
-            pieces = [np.array(encoder.encode(t, k), np.int32) for k, t in rows]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": batch["text"], "pieces": pieces})
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[start : start + ROWS_AT_ONCE]
+                pieces = [np.array(encoder.encode(t, k), np.int32) for k, t in zip(part["key"], part["text"], strict=True)]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "text": part["text"], "pieces": pieces})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), whole_text().alias("text"))
@@ -265,10 +278,26 @@ def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.withColumn("decoded", F.pandas_udf(text_of, "string")("pieces"))
 
 
-def piece_digest(documents: DataFrame) -> DataFrame:
-    """doc_id, number and hash of pieces, size of the decoded text, and whether it equals the text."""
-    back = decode_pieces(encode_documents(documents))
-    return back.select(
-        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+def piece_digest(documents: DataFrame, model: str | None = None) -> DataFrame:
+    """doc_id, number and checksum of pieces, digest of the text decoded from them, and whether it equals the text.
+
+    A task encodes and decodes text by text, so neither pieces nor decoded texts travel or gather.
+    """
+    shared = shared_vocabulary(documents.sparkSession, model)
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary = shared.value
+        encoder = _encoder(vocabulary, RATE, SEED, VARIANTS)
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch["key"], batch["text"], strict=True):
+                numbers = encoder.encode(text, key)
+                back = decode(numbers, vocabulary)
+                raw = back.encode("utf-8", "surrogatepass")
+                rows.append((len(numbers), crc32(np.array(numbers, "<i4").tobytes()), sha256(raw).hexdigest(), back == text))
+            found = pd.DataFrame(rows, columns=["n_pieces", "pieces_crc32", "decoded_sha256", "lossless"])
+            yield found.assign(doc_id=batch["doc_id"].to_numpy())[["doc_id", *found.columns]]
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    rows = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), whole_text().alias("text"))
+    return rows.mapInPandas(compute, f"doc_id {kind}, n_pieces long, pieces_crc32 long, decoded_sha256 string, lossless boolean")
