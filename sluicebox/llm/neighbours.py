@@ -9,7 +9,7 @@ neighbours and reverse neighbours meet at the node (a join on edges, then on vec
 each keeps its best ``NEIGHBOURS``. Nodes with many reverse neighbours are dealt in parts of ``PART``; none is left out.
 
 Searching. Each query keeps a beam of its best ``BEAM`` nodes, starts at its own place in the graph, and in every hop joins the
-best nodes it has not visited with their adjacency, until all are visited or ``HOPS`` are done.
+``VISITS`` best nodes it has not visited with their adjacency, ``HOPS`` times.
 
 Index and search cover every row. Defined results: vectors that are null, empty, zero, of another length than most (ties: the
 shorter), or that hold null or non-finite components take no part; equal scores rank by vec_id; repeated rows count as
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from sluicebox.llm.common import written
 
 NEAREST, QUERY_STEP = 20, 20
-NEIGHBOURS, ROUNDS, TREES, BLOCK, PART = 24, 3, 4, 400, 64
-BEAM, HOPS, VISITS = 512, 7, 96
+NEIGHBOURS, ROUNDS, TREES, BLOCK, PART = 24, 2, 4, 400, 64
+BEAM, HOPS, VISITS = 512, 6, 128
 HELD_ENTRIES = 2_000_000
 
 Batches = Iterator[pd.DataFrame]
@@ -182,24 +182,21 @@ def merged(lists: DataFrame, most: int = NEIGHBOURS) -> DataFrame:
 def first_lists(nodes: DataFrame, count: int, width: int) -> DataFrame:
     """Neighbours from blocks of random hyperplane trees; blocks that come out large are dealt by hash."""
     depth = max(0, int(np.ceil(np.log2(max(1, count / (BLOCK / 2))))))
-    lists = None
-    for tree in range(TREES):
-        planes = np.random.default_rng(tree).normal(size=(width, depth)).astype(np.float32)
-
-        def place(batches: Batches, planes: np.ndarray = planes) -> Batches:
-            for batch in batches:
-                codes = np.frombuffer(b"".join(batch["code"]), np.int8).reshape(len(batch), width).astype(np.float32)
-                sides = (codes @ planes > 0) @ (1 << np.arange(depth, dtype=np.int64))
-                yield pd.DataFrame({"block": sides.astype(np.int64), "member": batch["node"], "code": batch["code"]})
-
-        placed = nodes.mapInPandas(place, "block long, member long, code binary")
-        sizes = placed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-        dealt = placed.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("member", F.lit(tree)), F.col("parts")))
-        keyed = dealt.select(F.xxhash64("block", "part").alias("group"), "member", "code", F.lit(float("-inf")).alias("least"))
-        ordered = keyed.repartition(F.col("group")).sortWithinPartitions("group")
-        one = ordered.mapInPandas(lambda batches: _met(batches, "group"), LISTS)
-        lists = one if lists is None else lists.unionAll(one)
-    return merged(lists)
+    planes = [np.random.default_rng(tree).normal(size=(width, depth)).astype(np.float32) for tree in range(TREES)]
+
+    def place(batches: Batches) -> Batches:
+        for batch in batches:
+            codes = np.frombuffer(b"".join(batch["code"]), np.int8).reshape(len(batch), width).astype(np.float32)
+            for tree in range(TREES):
+                sides = (codes @ planes[tree] > 0) @ (1 << np.arange(depth, dtype=np.int64))
+                yield pd.DataFrame({"block": sides.astype(np.int64) * TREES + tree, "member": batch["node"], "code": batch["code"]})
+
+    placed = nodes.mapInPandas(place, "block long, member long, code binary")
+    sizes = placed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    dealt = placed.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("member", "block"), F.col("parts")))
+    keyed = dealt.select(F.xxhash64("block", "part").alias("group"), "member", "code", F.lit(float("-inf")).alias("least"))
+    ordered = keyed.repartition(F.col("group")).sortWithinPartitions("group")
+    return merged(ordered.mapInPandas(lambda batches: _met(batches, "group"), LISTS))
 
 
 def edges_of(lists: DataFrame) -> DataFrame:
@@ -213,10 +210,10 @@ def edges_of(lists: DataFrame) -> DataFrame:
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
-    """center and member of each edge and its reverse, and the part of the center it falls into."""
+    """center and member of each edge and its reverse, and the part of the center it falls into. Mutual edges come twice."""
     ways = edges.select(F.col("node").alias("center"), F.col("other").alias("member")).unionAll(
         edges.select(F.col("other").alias("center"), F.col("node").alias("member"))
-    ).distinct()
+    )
     parts = ways.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
     return ways.join(parts, "center").select("center", "member", F.pmod(F.xxhash64("member", "center"), F.col("parts")).alias("part"))
 
@@ -250,7 +247,7 @@ def build_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
 def adjacency_of(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, ids and codes of neighbours and reverse neighbours, in rows of at most about ``PART``."""
     ways = both_ways(edges_of(lists)).join(nodes.select(F.col("node").alias("member"), "code"), "member")
-    packed = ways.groupBy("center", "part").agg(F.collect_list(F.struct("member", "code")).alias("list"))
+    packed = ways.groupBy("center", "part").agg(F.collect_set(F.struct("member", "code")).alias("list"))
 
     def pack(batches: Batches) -> Batches:
         for batch in batches:
@@ -260,11 +257,11 @@ def adjacency_of(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return packed.mapInPandas(pack, "node long, ids binary, codes binary")
 
 
-STATE = "node long, code binary, others binary, scores binary, visited binary, fresh long"
+STATE = "node long, code binary, others binary, scores binary, visited binary, next array<long>, least double"
 
 
 def _advance(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of each query: its beam and what a hop found, merged; ``fresh`` counts nodes the beam has yet to visit."""
+    """Of each query: its beam and what a hop found, merged, and the nodes to visit next, which count as visited."""
     queries = rows["node"].to_numpy(np.int64)
     cut = np.flatnonzero(np.concatenate([[True], queries[1:] != queries[:-1]]))
     codes, others, scores, visits = (rows[c].tolist() for c in ("code", "others", "scores", "visited"))
@@ -275,36 +272,19 @@ def _advance(rows: pd.DataFrame) -> pd.DataFrame:
         other = np.frombuffer(b"".join(others[a:b]), np.int64)
         score = np.frombuffer(b"".join(scores[a:b]), np.float32)
         _, other, score = _best(np.zeros(len(other), np.int64), other, score, BEAM)
-        fresh = int((~np.isin(other, seen)).sum())
-        out.append((int(queries[a]), codes[own], other.tobytes(), score.tobytes(), visits[own], fresh))
-    return pd.DataFrame(out, columns=["node", "code", "others", "scores", "visited", "fresh"])
-
-
-def _choose(state: DataFrame) -> DataFrame:
-    """The state with the next nodes marked as visited, and the nodes themselves in ``next``."""
-    def mark(batches: Batches) -> Batches:
-        for batch in batches:
-            nexts, visits, least = [], [], []
-            for others, scores, visited in zip(batch["others"], batch["scores"], batch["visited"], strict=True):
-                beam, seen = np.frombuffer(others, np.int64), np.frombuffer(visited, np.int64)
-                chosen = beam[~np.isin(beam, seen)][:VISITS]
-                nexts.append(chosen)
-                visits.append(np.concatenate([seen, chosen]).tobytes())
-                score = np.frombuffer(scores, np.float32)
-                least.append(float(score[-1]) if len(score) >= BEAM else float("-inf"))
-            yield batch.assign(visited=visits, next=nexts, least=least)
-
-    return state.mapInPandas(mark, f"{STATE}, next array<long>, least double")
+        chosen = other[~np.isin(other, seen)][:VISITS]
+        least = float(score[-1]) if len(score) >= BEAM else float("-inf")
+        out.append((int(queries[a]), codes[own], other.tobytes(), score.tobytes(), np.concatenate([seen, chosen]).tobytes(), chosen, least))
+    return pd.DataFrame(out, columns=["node", "code", "others", "scores", "visited", "next", "least"])
 
 
 def walk(queries: DataFrame, adjacency: DataFrame) -> DataFrame:
-    """The beam of each query (node, code) after greedy search."""
+    """The beam of each query (node, code) after greedy search, which starts at the query's own node."""
     def begin(batches: Batches) -> Batches:
         for batch in batches:
-            own = [np.array([n], np.int64).tobytes() for n in batch["node"]]
-            yield batch.assign(others=own, scores=np.zeros(1, np.float32).tobytes(), visited=b"", fresh=1)
-
-    state = queries.select("node", "code").mapInPandas(begin, STATE)
+            own = [np.array([n], np.int64) for n in batch["node"]]
+            packed = [x.tobytes() for x in own]
+            yield batch.assign(others=packed, scores=np.zeros(1, np.float32).tobytes(), visited=packed, next=own, least=float("-inf"))
 
     def expand(batches: Batches) -> Batches:
         for batch in batches:
@@ -316,15 +296,14 @@ def walk(queries: DataFrame, adjacency: DataFrame) -> DataFrame:
                 found.append((ids[good].tobytes(), score[good].tobytes()))
             yield pd.DataFrame({"node": batch["query"], "others": [x for x, _ in found], "scores": [s for _, s in found]})
 
+    state = queries.select("node", "code").mapInPandas(begin, STATE)
     for _ in range(HOPS):
-        chosen = written(_choose(state), "beam")
-        if not chosen.where(F.size("next") > 0).limit(1).count():
-            break
-        frontier = chosen.select(F.col("node").alias("query"), "code", "least", F.explode("next").alias("node"))
+        state = written(state, "beam")
+        frontier = state.select(F.col("node").alias("query"), "code", "least", F.explode("next").alias("node"))
         met = frontier.join(adjacency, "node").select("query", "code", "least", "ids", "codes").mapInPandas(expand, LISTS)
-        more = met.select("node", F.lit(None).cast("binary").alias("code"), "others", "scores", F.lit(None).cast("binary").alias("visited"), F.lit(0).cast("long").alias("fresh"))
-        both = chosen.select("node", "code", "others", "scores", "visited", "fresh").unionAll(more)
-        state = written(by_group(both, "node", _advance, STATE), "beam")
+        none = F.lit(None).cast("binary")
+        more = met.select("node", none.alias("code"), "others", "scores", none.alias("visited"))
+        state = by_group(state.select("node", "code", "others", "scores", "visited").unionAll(more), "node", _advance, STATE)
     return state
 
 
