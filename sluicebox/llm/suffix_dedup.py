@@ -149,11 +149,11 @@ def _pieces(raw: bytes, runs: list[np.ndarray], shared: np.ndarray, hot: np.ndar
     lo, hi, place, hashed, warm, owner = lo[mine], hi[mine], place[mine], hashed[mine], hot[at[mine]], deals[at[mine]]
     first, last, deal = [lo[~warm]], [hi[~warm]], [owner[~warm].astype(np.uint64) << np.uint64(16)]
     for a, b, p, h in zip(lo[warm], hi[warm], place[warm], hashed[warm], strict=True):
-        # Pieces start at fixed distances from the anchor, so equal windows are in equal pieces.
-        edges = [a, *range(int(p) - (int(p) - int(a)) // FINE * FINE, int(b) + 1, FINE), int(b) + 1]
+        # Pieces end at fixed distances from the anchor: the windows after a place of the grid, up to the next place ``top``.
+        edges = [a, *range(int(p) - (int(p) - int(a)) // FINE * FINE + 1, int(b) + 1, FINE), int(b) + 1]
         for x, y in zip(edges[:-1], edges[1:], strict=True):
             if x < y:
-                # Windows of a piece lie within one step of the grid; what all of that step's windows share deals it.
+                # What all windows of a whole step share deals the piece, and a part of a step alike.
                 top = int(p) - (int(p) - int(x)) // FINE * FINE
                 core = raw[top : top + WINDOW - FINE + 1]
                 code = int.from_bytes(hashlib.blake2b(core, digest_size=8, key=int(h).to_bytes(8, "little")).digest(), "little")

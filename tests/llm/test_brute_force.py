@@ -15,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sluicebox.llm import pieces as sp
+from sluicebox.llm import suffix_dedup
 from sluicebox.llm.decontaminate import Block, _leaks_in, normal
 from sluicebox.llm.induced import suffixes_with_prefixes
 from sluicebox.llm.near_dup import Powers, probability_jaccard, registers_of, shingles
@@ -271,3 +272,32 @@ def test_held_out_accuracy(spark, name, label, least):
     known = {r.doc_id: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     rows = [r for r in LLM_QUERIES[name](spark, folder).collect() if r.held_out and r.doc_id in known]
     assert len(rows) > 500 and np.mean([r.predicted == known[r.doc_id] for r in rows]) >= least
+
+
+def without_repeats(texts):
+    """Removed bytes, spans and what remains of each text, in order of ids."""
+    seen, found = set(), {}
+    for i in sorted(texts):
+        raw = texts[i].encode()
+        gone = bytearray(len(raw))
+        for at in range(len(raw) - 99):
+            window = raw[at : at + 100]
+            if window in seen:
+                gone[at : at + 100] = b"\1" * 100
+            seen.add(window)
+        kept = bytes(c for c, g in zip(raw, gone, strict=True) if not g)
+        found[i] = (sum(gone), sum(g and (not at or not gone[at - 1]) for at, g in enumerate(gone)), hashlib.sha256(kept).hexdigest())
+    return found
+
+
+def test_suffix_dedup_of_hot_anchors_in_many_shards(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = "".join(rng.choices("abcdefgh ", k=230))
+    texts = {}
+    for i in range(3 * suffix_dedup.HOT // 2):
+        before, after = ("".join(rng.choices("abcdefgh ", k=rng.randrange(60, 180))) for _ in range(2))
+        start = rng.randrange(40)
+        texts[i] = before + passage[start : start + rng.randrange(120, 230)] + after
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500)
+    rows = suffix_dedup.repeat_digest(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == without_repeats(texts)
