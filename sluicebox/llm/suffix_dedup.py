@@ -42,6 +42,25 @@ MOST_BROADCAST_ROWS = 1_000_000  # of eight bytes each; beyond it the same join
 LAST_ID = (1 << 63) - 1
 
 
+def _least_places(hashed: np.ndarray, windows: int) -> np.ndarray:
+    """Of each window, the place of its gram with the least hash. Windows are taken in stretches, so that a place within a
+    stretch fits the bits it has, however long the text is."""
+    places = np.empty(windows, np.int64)
+    step = (1 << PLACE_BITS) - SPAN + 1
+    for start in range(0, windows, step):
+        here = min(step, windows - start)
+        part = hashed[start : start + here + SPAN - 1]
+        # The hash's upper bits with the place below: the least one is the leftmost of equal hashes.
+        key = (part >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(len(part), dtype=np.uint64)
+        width = 1
+        while 2 * width <= SPAN:
+            key = np.minimum(key[:-width], key[width:])
+            width *= 2
+        key = np.minimum(key[:here], key[SPAN - width : SPAN - width + here])
+        places[start : start + here] = start + (key & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    return places
+
+
 def window_anchors(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that name the same place: text number, first and last start, place of the gram, hash. Offsets are in
     the text."""
@@ -56,15 +75,8 @@ def window_anchors(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.n
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
     grams = len(raw) - GRAM + 1
     hashed = mix((sums[GRAM:] - sums[:grams]) * down[:grams])
-    # The hash's upper bits with the place below: the least one is the leftmost of equal hashes.
-    key = (hashed >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(grams, dtype=np.uint64)
-    width = 1
-    while 2 * width <= SPAN:
-        key = np.minimum(key[:-width], key[width:])
-        width *= 2
     windows = len(raw) - WINDOW + 1
-    key = np.minimum(key[:windows], key[SPAN - width : SPAN - width + windows])
-    place = (key & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    place = _least_places(hashed, windows)
     text = np.repeat(np.arange(len(texts)), sizes)[:windows]
     fits = np.arange(windows) + WINDOW <= (begins + sizes)[text]
     starts = np.flatnonzero(fits)

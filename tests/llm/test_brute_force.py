@@ -301,3 +301,13 @@ def test_suffix_dedup_of_hot_anchors_in_many_shards(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500)
     rows = suffix_dedup.repeat_digest(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == without_repeats(texts)
+
+
+def test_anchors_of_a_text_beyond_the_bits_of_a_place():
+    part = np.random.default_rng(3).integers(0, 256, 3_000, np.uint8).tobytes()
+    far = (1 << suffix_dedup.PLACE_BITS) + 5_000
+    text = np.random.default_rng(4).integers(0, 256, far, np.uint8).tobytes() + part
+    _, low, high, place, hashed = suffix_dedup.window_anchors([part + b"-" + text], Powers())
+    assert (place >= high).all() and (place + suffix_dedup.GRAM <= low + suffix_dedup.WINDOW).all()
+    first, second = ({(p - at, h) for a, b, p, h in zip(low, high, place, hashed) if at <= a and b + 100 <= at + 3_000} for at in (0, far + 3_001))
+    assert first and len(first ^ second) <= 2  # runs at the ends of the part may reach over them
