@@ -7,9 +7,10 @@ original vectors in double precision.
 Building. Nodes start with neighbours from blocks of a few random hyperplane trees. Then, in each round, every node's
 neighbours and reverse neighbours meet at the node (a join on edges, then on vectors) and are compared with each other;
 each keeps its best ``NEIGHBOURS``. Nodes with many reverse neighbours are dealt in parts of ``PART``; none is left out.
+Rounds end when at most ``SETTLED`` of all list entries are new; lists only get better, so that they do end.
 
 Searching. Each query keeps a beam of its best ``BEAM`` nodes, starts at its own place in the graph, and in every hop joins the
-``VISITS`` best nodes it has not visited with their adjacency, ``HOPS`` times.
+``VISITS`` best nodes it has not visited with their adjacency, until no beam holds a node that was not visited.
 
 Index and search cover every row. Defined results: vectors that are null, empty, zero, of another length than most (ties: the
 shorter), or that hold null or non-finite components take no part; equal scores rank by vec_id; repeated rows count as
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from sluicebox.llm.common import written
 
 NEAREST, QUERY_STEP = 20, 20
-NEIGHBOURS, ROUNDS, TREES, BLOCK, PART = 24, 2, 4, 400, 64
-BEAM, HOPS, VISITS = 512, 6, 128
+NEIGHBOURS, TREES, BLOCK, PART = 24, 4, 400, 64
+SETTLED = 0.001  # share of new list entries in a round that is the last
+BEAM, VISITS = 512, 128
 HELD_ENTRIES = 2_000_000
 
 Batches = Iterator[pd.DataFrame]
@@ -218,8 +220,21 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return ways.join(parts, "center").select("center", "member", F.pmod(F.xxhash64("member", "center"), F.col("parts")).alias("part"))
 
 
+def _renewed(rows: pd.DataFrame) -> pd.DataFrame:
+    """The best of old lists and what was met, and in the first row how many entries of the batch are in no old list."""
+    owner, other, score = _best(*_flat(rows), NEIGHBOURS)
+    old_owner, old_other, _ = _flat(rows[rows["old"]])
+    owners, others = np.concatenate([owner, old_owner]), np.concatenate([other, old_other])
+    order = np.lexsort((others, owners))  # a pair is in each of both at most once
+    owners, others = owners[order], others[order]
+    stayed = int(((owners[1:] == owners[:-1]) & (others[1:] == others[:-1])).sum())
+    best = _packed(owner, other, score)
+    return best.assign(entered=np.where(np.arange(len(best)) == 0, len(owner) - stayed, 0))
+
+
 def improve(lists: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One round: neighbours of each node meet, with their codes and the score that a new neighbour must beat."""
+    """One round: neighbours of each node meet, with their codes and the score that a new neighbour must beat. ``entered`` adds
+    up to the number of new entries."""
     bars = lists.select("node", F.octet_length("scores").alias("n"), F.col("scores"))
 
     def bar(batches: Batches) -> Batches:
@@ -233,15 +248,20 @@ def improve(lists: DataFrame, nodes: DataFrame) -> DataFrame:
         F.xxhash64("center", "part").alias("group"), "member", "code", F.coalesce("least", F.lit(float("-inf"))).alias("least")
     )
     ordered = met.repartition(F.col("group")).sortWithinPartitions("group")
-    return merged(lists.unionAll(ordered.mapInPandas(lambda batches: _met(batches, "group"), LISTS)))
+    found = ordered.mapInPandas(lambda batches: _met(batches, "group"), LISTS)
+    both = lists.withColumn("old", F.lit(True)).unionAll(found.withColumn("old", F.lit(False)))
+    return by_group(both, "node", _renewed, f"{LISTS}, entered long")
 
 
 def build_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
-    """The neighbour lists after ``ROUNDS`` rounds of NN-descent."""
+    """The neighbour lists when NN-descent has settled."""
     lists = written(first_lists(nodes, count, width), "graph")
-    for _ in range(ROUNDS):
-        lists = written(improve(lists, nodes), "graph")
-    return lists
+    while True:
+        better = written(improve(lists, nodes), "graph")
+        lists = better.select("node", "others", "scores")
+        counts = better.select(F.sum("entered").alias("new"), F.sum(F.octet_length("others") / 8).alias("all")).first()
+        if (counts["new"] or 0) <= SETTLED * (counts["all"] or 0):
+            return lists
 
 
 def adjacency_of(lists: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -297,14 +317,15 @@ def walk(queries: DataFrame, adjacency: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": batch["query"], "others": [x for x, _ in found], "scores": [s for _, s in found]})
 
     state = queries.select("node", "code").mapInPandas(begin, STATE)
-    for _ in range(HOPS):
+    while True:
         state = written(state, "beam")
+        if not state.where(F.size("next") > 0).count():
+            return state
         frontier = state.select(F.col("node").alias("query"), "code", "least", F.explode("next").alias("node"))
         met = frontier.join(adjacency, "node").select("query", "code", "least", "ids", "codes").mapInPandas(expand, LISTS)
         none = F.lit(None).cast("binary")
         more = met.select("node", none.alias("code"), "others", "scores", none.alias("visited"))
         state = by_group(state.select("node", "code", "others", "scores", "visited").unionAll(more), "node", _advance, STATE)
-    return state
 
 
 def nearest(vectors: DataFrame) -> DataFrame:

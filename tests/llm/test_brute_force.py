@@ -14,6 +14,7 @@ from text_rows import SF_ORACLE
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from sluicebox.llm import neighbours
 from sluicebox.llm import pieces as sp
 from sluicebox.llm import suffix_dedup
 from sluicebox.llm.decontaminate import Block, _leaks_in, normal
@@ -311,3 +312,23 @@ def test_anchors_of_a_text_beyond_the_bits_of_a_place():
     assert (place >= high).all() and (place + suffix_dedup.GRAM <= low + suffix_dedup.WINDOW).all()
     first, second = ({(p - at, h) for a, b, p, h in zip(low, high, place, hashed) if at <= a and b + 100 <= at + 3_000} for at in (0, far + 3_001))
     assert first and len(first ^ second) <= 2  # runs at the ends of the part may reach over them
+
+
+def test_graph_is_settled(spark):
+    codes = np.random.default_rng(2).integers(-40, 41, (6_000, 48)).astype(np.int8)
+    nodes = spark.createDataFrame([(i, c.tobytes()) for i, c in enumerate(codes)], "node long, code binary")
+    scores = codes.astype(np.float32) @ codes.T.astype(np.float32)
+    np.fill_diagonal(scores, -np.inf)
+    least = -np.sort(-scores, axis=1)[:, neighbours.NEIGHBOURS - 1]
+    lists = neighbours.build_graph(nodes, len(codes), 48).collect()
+    hits = [(scores[r.node, np.frombuffer(r.others, np.int64)] >= least[r.node]).sum() / neighbours.NEIGHBOURS for r in lists]
+    assert len(hits) == len(codes) and np.mean(hits) > 0.9
+
+
+def test_walk_goes_on_while_there_are_better_nodes(spark):
+    codes = [np.int8(i).tobytes() for i in range(21)]
+    chain = [(i, np.array([i + 1], np.int64).tobytes(), codes[i + 1]) for i in range(20)]
+    adjacency = spark.createDataFrame(chain, "node long, ids binary, codes binary")
+    queries = spark.createDataFrame([(0, np.int8(1).tobytes())], "node long, code binary")
+    found = neighbours.walk(queries, adjacency).collect()
+    assert set(np.frombuffer(found[0].others, np.int64)) == set(range(21))
