@@ -3,9 +3,8 @@
 A text is cut where no piece of the vocabulary can reach across: before blanks that follow another character, and around
 line breaks. Each unit is segmented by the agenda of a merge-type model: the best scored pair of neighbours, leftmost
 first, is merged until none is left. A popped merge is skipped where a keyed hash of seed, variant, unit and place falls below
-the dropout rate, so a seed always gives the same segmentation, and other seeds give others. Occurrences of a unit take
-one of ``variants`` variants by a keyed hash of document and place; units of more than ``VARIED_CHARS`` characters have one
-variant for a seed. That keeps segmentations reusable.
+the dropout rate, so a seed always gives the same segmentation, and other seeds give others. Occurrences of a unit, whatever
+its length, take one of ``variants`` variants by a keyed hash of document and place. That keeps segmentations reusable.
 With rate 0 the pieces are those of the model itself.
 
 Decoding is exact for every text: characters without a piece, line breaks and a literal block mark (U+2581, which the
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 from sluicebox.llm.common import whole_text
 
 RATE, SEED, VARIANTS = 0.1, 17, 4
-VARIED_CHARS = 6  # longer units have one variant for a seed
 REMEMBERED_UNITS = 300_000  # of each of two generations in a task process
 MARK = "▁"
 UNIT = re.compile(r" *[^ \n]+| +|\n")
@@ -201,7 +199,7 @@ class Encoder:
         if len(units) > TURNS:
             cycle = cycle * (len(units) // TURNS + 1)
         for unit, variant in zip(units, cycle):  # noqa: B905  the cycle is longer
-            named = variant + unit if len(unit) <= VARIED_CHARS else "0" + unit
+            named = variant + unit
             out.extend(self.known.get(named) or self.remembered(named))
         return out
 

@@ -332,3 +332,11 @@ def test_walk_goes_on_while_there_are_better_nodes(spark):
     queries = spark.createDataFrame([(0, np.int8(1).tobytes())], "node long, code binary")
     found = neighbours.walk(queries, adjacency).collect()
     assert set(np.frombuffer(found[0].others, np.int64)) == set(range(21))
+
+
+def test_long_units_vary_by_document_and_place():
+    encoder = sp.Encoder(vocabulary_of_the_model(), 0.3, 1)
+    word = "internationalization"
+    kinds = {tuple(encoder.encode(word, f"{i}")) for i in range(200)}
+    assert len(kinds) > 2
+    assert len({n for i in range(50) if (n := tuple(encoder.encode(f"{word} " * i + word, "k"))[-3:])}) > 1
