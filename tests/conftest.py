@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -7,10 +6,9 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-from sluicebox.session import build_session  # noqa: E402
+from sf_tables import SF_SMALL  # noqa: E402
 
-SF_SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SF_ORACLE = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+from sluicebox.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

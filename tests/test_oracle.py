@@ -5,7 +5,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import SF_ORACLE
+from sf_tables import SF_ORACLE
 
 from __spark_entry__ import oracle_sql, queries
 from sluicebox.catalog.oracle import ORACLE
