@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicebox.llm.alignment import alignment_digest
 from sluicebox.llm.chat import chat_digest, format_chats
+from sluicebox.llm.codes import vector_codes
 from sluicebox.llm.common import read_table
 from sluicebox.llm.decontaminate import find_leaks
+from sluicebox.llm.exact_dedup import copy_groups
 from sluicebox.llm.near_dup import near_duplicates
 from sluicebox.llm.neighbours import nearest
 from sluicebox.llm.pieces import piece_digest
@@ -68,16 +71,72 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copy_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digest(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_quality_classifier, op3_minhash_near_dedup, op4_nearest_neighbours, op5_chat_formatting, op6_sentencepiece,
         op7_secret_scans, op8_sharding, op9_toxicity,
-        op10_decontamination,
+        op10_decontamination, op11_exact_dedup, op12_vector_codes, op13_token_alignment,
     )
 }
 
+def _codes_sql(entries: int = 256, rounds: int = 4) -> str:
+    """Each round as two statements: the nearest entry of every part, and the entries that follow from it."""
+    def nearest_of(book: str) -> str:
+        return f"""(
+            SELECT id, part, arg_min(entry, distance * {entries} + entry) AS entry, min(distance) AS distance
+            FROM (SELECT p.id, p.part, b.entry, sum((p.v - b.v) * (p.v - b.v))::BIGINT AS distance
+                  FROM points AS p JOIN {book} AS b ON p.part = b.part AND p.place = b.place GROUP BY ALL)
+            GROUP BY id, part)"""
+
+    steps = [f"book0 AS MATERIALIZED (SELECT part, id AS entry, place, v FROM points WHERE id < {entries})"]
+    for n in range(rounds):
+        steps.append(f"near{n} AS MATERIALIZED {nearest_of(f'book{n}')}")
+        steps.append(f"""book{n + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, b.place, coalesce(m.v, b.v) AS v
+            FROM book{n} AS b LEFT JOIN (
+                SELECT part, entry, place, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS v
+                FROM points JOIN near{n} USING (id, part) GROUP BY part, entry, place
+            ) AS m USING (part, entry, place))""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id, embedding) - 1 AS id FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), spread AS (
+            SELECT id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS spot, len(embedding) // 4 AS width FROM kept
+        ), points AS MATERIALIZED (
+            SELECT id, spot // width AS part, spot % width AS place, floor(1024 * x::DOUBLE)::BIGINT AS v FROM spread
+        ), {", ".join(steps)}, last AS MATERIALIZED {nearest_of(f"book{rounds}")}, coded AS (
+            SELECT vec_id, label, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+            FROM last JOIN kept USING (id) GROUP BY id, vec_id, label
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded"""
+
+
 LLM_ORACLE: dict[str, str] = {
+    "op11_exact_dedup": r"""
+        WITH content AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS raw
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER copies AS keep_id, count(*) OVER (PARTITION BY raw) AS group_size,
+            row_number() OVER copies = 1 AS kept, sha256(raw) AS text_sha256
+        FROM content WINDOW copies AS (PARTITION BY raw ORDER BY points DESC, doc_id)""",
+    "op12_vector_codes": _codes_sql(),
     "op5_chat_formatting": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
