@@ -24,6 +24,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,21 +36,14 @@ from sluicebox.llm.common import whole_text, written
 
 MARK = "▁"
 LOOSE = re.compile(r"\s | $")  # where a blank is no cut by itself
-UNITS_AT_ONCE, CHARACTERS_AT_ONCE = 20_000, 4_000_000
-REMEMBERED_UNITS, REMEMBERED_LENGTH = 300_000, 64  # of each of two generations in a task process; longer units are not kept
+UNITS_AT_ONCE, CHARACTERS_AT_ONCE = 20_000, 2_000_000
+REMEMBERED_UNITS, REMEMBERED_LENGTH = 200_000, 64  # of each of two generations in a task process; longer units are not kept
 PAIRS_AT_ONCE = 4_000_000
 COMMON_PAIRS = 1_000_000  # of 17 bytes each, in every task
 
 
-class Unit(NamedTuple):
-    """An aligned unit: counts, its groups as text, and the links as pair numbers."""
-
-    lossless: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: bytes
-    pairs: bytes
+# An aligned unit: whether both spell it exactly, tokens of A, of B, groups, the groups as text, and the links as packed pair numbers.
+Unit = tuple[bool, int, int, int, bytes, bytes]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -77,6 +71,7 @@ class Tokenizers:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)
         ]
         self.size_b = len(pieces)
+        self.kind = np.dtype(np.uint32 if len(self.bytes_a) * self.size_b < 2**32 else np.int64)
         self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.cut = not any(MARK in p.lstrip(MARK) for p in pieces)
 
@@ -110,8 +105,8 @@ class Tokenizers:
         sides = []
         for ids, spans, names, lengths, shift in ((ids_a, spans_a, self.bytes_a, self.length_a, 0), (ids_b, spans_b, self.bytes_b, self.length_b, 1)):
             counts = np.array([len(i) for i in ids], np.int64)
-            flat = np.fromiter((i for u in ids for i in u), np.int64, counts.sum())
-            bounds = np.fromiter((p for u in spans for s in u for p in s), np.int64, 2 * counts.sum()).reshape(-1, 2) + shift
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
+            bounds = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * counts.sum()).reshape(-1, 2) + shift
             starts = np.concatenate([[0], np.cumsum(counts)])
             if shift and len(flat):
                 bounds[starts[:-1][counts > 0], 0] = 0  # B's own blank belongs to its first piece
@@ -122,11 +117,22 @@ class Tokenizers:
             before = np.concatenate([[0], spelled])[starts[:-1]]
             refined = spelled - np.repeat(before - at[first[:-1]], counts)
             ends = np.where(coarse_to - coarse_from == width, coarse_to, refined)
-            exact = np.array([b"".join([names[i] for i in u]) == s.encode() for u, s in zip(ids, spaced, strict=True)], bool)
-            sides.append((flat, ends, counts, exact))
+            sides.append((flat, ends, counts, self._spelled(flat, counts, width, names, whole.encode(), at[first])))
         (a, ends_a, n_a, good_a), (b, ends_b, n_b, good_b) = sides
         return Aligned(a, ends_a, n_a, b, ends_b, n_b, good_a & good_b)
 
+    @staticmethod
+    def _spelled(flat: np.ndarray, counts: np.ndarray, width: np.ndarray, names: list[bytes], text: bytes, bounds: np.ndarray) -> np.ndarray:
+        """Of each unit, whether its tokens' bytes are those of the text between its bounds."""
+        sizes = np.bincount(np.repeat(np.arange(len(counts)), counts), width, len(counts)).astype(np.int64)
+        long_enough = sizes == np.diff(bounds)
+        own = np.repeat(long_enough, counts)
+        joined = np.frombuffer(b"".join(map(names.__getitem__, flat[own].tolist())), np.uint8)
+        asked = np.frombuffer(text, np.uint8)[np.repeat(long_enough, np.diff(bounds))]
+        unit = np.repeat(np.flatnonzero(long_enough), sizes[long_enough])
+        long_enough[unit[joined != asked]] = False
+        return long_enough
+
     def unit_rows(self, units: list[str]) -> list[Unit]:
         """What documents are put together from."""
         aligned = self.align(units)
@@ -149,12 +155,13 @@ class Tokenizers:
         of_unit = np.concatenate([unit_a, unit_b])[order]
         shown = cells != 0
         text = cells[shown].tobytes()
-        cut = np.concatenate([[0], np.cumsum(np.bincount(of_unit, shown.sum(1), len(units)).astype(np.int64))])
-        links = np.concatenate([[0], np.cumsum(n_links)])
-        pairs = pairs.astype(np.int64)
+        cut = np.concatenate([[0], np.cumsum(np.bincount(of_unit, shown.sum(1), len(units)).astype(np.int64))]).tolist()
+        links = np.concatenate([[0], np.cumsum(n_links * self.kind.itemsize)]).tolist()
+        packed_pairs = pairs.astype(self.kind).tobytes()
+        columns = (x.tolist() for x in (aligned.lossless, counts_a, counts_b, n_groups))
         return [
-            Unit(bool(ok), int(x), int(y), int(g), text[cut[k] : cut[k + 1] - 1], pairs[links[k] : links[k + 1]].tobytes())
-            for k, (ok, x, y, g) in enumerate(zip(aligned.lossless, counts_a, counts_b, n_groups, strict=True))
+            (ok, x, y, g, text[cut[k] : cut[k + 1] - 1], packed_pairs[links[k] : links[k + 1]])
+            for k, (ok, x, y, g) in enumerate(zip(*columns, strict=True))
         ]
 
 
@@ -245,21 +252,24 @@ def aligned_documents(documents: DataFrame, path_a: str | None = None, path_b: s
             for start, texts in _batches(batch["text"]):
                 cut = [tokenizers.units(t) if t else [] for t in texts]
                 known = _known(tokenizers, generations, {u for units in cut for u in units})
-                rows = [document_row([known[u] for u in units]) for units in cut]
+                rows = [document_row([known[u] for u in units], tokenizers.kind) for units in cut]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start : start + len(texts)].array} | dict(zip(COLUMNS, zip(*rows, strict=True), strict=True)))
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInPandas(align, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, keys binary, times binary")
 
 
+NO_TOKENS = (0, 0, 0, 0, "", b"", b"")
 COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "times")
 
 
-def document_row(units: list[Unit]) -> tuple:
-    if not units or not all(u.lossless for u in units):
-        return 0, 0, 0, 0, "", b"", b""
-    _, n_a, n_b, n_groups, groups, pairs = zip(*units, strict=True)
-    links = np.frombuffer(b"".join(pairs), np.int64)
+def document_row(units: list[Unit], kind: np.dtype) -> tuple:
+    if not units:
+        return NO_TOKENS
+    lossless, n_a, n_b, n_groups, groups, pairs = zip(*units, strict=True)
+    if not all(lossless):
+        return NO_TOKENS
+    links = np.frombuffer(b"".join(pairs), kind)
     keys, times = np.unique(links, return_counts=True)
     return sum(n_a), sum(n_b), sum(n_groups), len(links), sha256(b";".join(groups)).hexdigest(), packed(keys), packed(times)
 
