@@ -58,7 +58,11 @@ scored AS (
   FROM parsed
 ),
 clean AS (SELECT * FROM scored WHERE quality_score = 'CLEAN'),
-rejected AS (SELECT * FROM scored WHERE quality_score <> 'CLEAN')"""
+rejected AS (SELECT * FROM scored WHERE quality_score <> 'CLEAN'),
+dated AS (SELECT * FROM clean WHERE event_timestamp <> {_AS_OF}),
+instants AS (
+  SELECT masked_card, event_timestamp, count(*) AS n, sum(amount) AS s FROM clean WHERE masked_card IS NOT NULL GROUP BY ALL
+)"""
 
 _CUSTOMER_EVENTS = """(
     SELECT c_custkey AS event_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(c_custkey) AS ts,
@@ -164,6 +168,24 @@ def _flat(body: str, table: str = "events") -> str:
     return f"WITH {_FLAT.strip().format(table=table)} {body}"
 
 
+def _incidents(threshold: str, minutes: int, quiet: int) -> str:
+    width = f"INTERVAL {minutes} MINUTE"
+    return f"""
+        SELECT min(window_start) AS incident_start, max(window_start) + {width} AS incident_end, count(*) AS windows,
+          sum(total)::BIGINT AS total, sum(rejected)::BIGINT AS rejected, max(rejected / total) AS peak_rate
+        FROM (
+          SELECT *, sum(CASE WHEN before >= window_start - {width} * {1 + quiet} THEN 0 ELSE 1 END) OVER (ORDER BY window_start) AS incident
+          FROM (
+            SELECT *, lag(window_start) OVER (ORDER BY window_start) AS before
+            FROM (
+              SELECT time_bucket({width}, event_timestamp) AS window_start, count(*) AS total,
+                count(*) FILTER (WHERE quality_score <> 'CLEAN') AS rejected
+              FROM scored GROUP BY 1
+            ) AS windows WHERE rejected / total > {threshold}
+          ) AS alerts
+        ) AS numbered GROUP BY incident"""
+
+
 ORACLE: dict[str, str] = {
     "topic_filter": _source("SELECT input_topic AS topic, count(*) AS n FROM records GROUP BY input_topic"),
     "bronze_ingest": _source(_BRONZE),
@@ -314,4 +336,53 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (WHERE quality_score <> 'CLEAN') / count(*) AS reject_rate
         FROM scored GROUP BY 1
         HAVING count(*) FILTER (WHERE quality_score <> 'CLEAN') / count(*) > 0.35"""),
+    "garbage_incidents": _scored(_incidents("0.35", 60, 0)),
+    "garbage_incidents_with_pauses": _scored(_incidents("0.3", 30, 2)),
+    "card_sessions": _scored("""
+        SELECT masked_card, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end, sum(n)::BIGINT AS txn_count,
+          CAST(sum(amount) AS DOUBLE) AS total_amount
+        FROM (
+          SELECT *, sum(CASE WHEN before >= event_timestamp - INTERVAL 6 HOUR THEN 0 ELSE 1 END)
+            OVER (PARTITION BY masked_card ORDER BY event_timestamp) AS session
+          FROM (
+            SELECT *, lag(event_timestamp) OVER (PARTITION BY masked_card ORDER BY event_timestamp) AS before
+            FROM (
+              SELECT masked_card, event_timestamp, count(*) AS n, sum(CAST(amount AS DECIMAL(18, 6))) AS amount
+              FROM clean WHERE masked_card IS NOT NULL GROUP BY ALL
+            ) AS instants
+          ) AS ordered
+        ) AS numbered GROUP BY masked_card, session"""),
+    "decayed_averages": _scored("""
+        SELECT masked_card, event_timestamp, txn_count, round(sum(n * share), 6) AS decayed_count,
+          round(sum(s * share) / sum(n * share), 6) AS decayed_average
+        FROM (
+          SELECT a.masked_card, a.event_timestamp, a.n AS txn_count, b.n, b.s,
+            pow(2.0, (epoch(b.event_timestamp) - epoch(a.event_timestamp)) / 21600.0) AS share
+          FROM instants AS a JOIN instants AS b ON a.masked_card = b.masked_card AND b.event_timestamp <= a.event_timestamp
+        ) AS shares GROUP BY masked_card, event_timestamp, txn_count"""),
+    "offset_audit": _source("""
+        SELECT input_topic AS topic, broker_partition AS partition, 'missing' AS kind, before + 1 AS first_offset, event_id - 1 AS last_offset,
+          event_id - before - 1 AS records
+        FROM (SELECT *, lag(event_id) OVER (PARTITION BY input_topic, broker_partition ORDER BY event_id) AS before FROM records)
+        WHERE event_id - before > 1
+        UNION ALL SELECT input_topic, broker_partition, 'repeated', event_id, event_id, 1 FROM records WHERE event_id % 97 = 0"""),
+    "velocity_stream": _scored("""
+        SELECT masked_card, event_timestamp, txn_count, txn_count_span, CAST(amount_sum AS DOUBLE) / txn_count_span AS avg_amount_span
+        FROM (
+          SELECT DISTINCT masked_card, event_timestamp,
+            count(*) OVER (PARTITION BY masked_card, event_timestamp) AS txn_count,
+            count(*) OVER span AS txn_count_span, sum(CAST(amount AS DECIMAL(18, 6))) OVER span AS amount_sum
+          FROM dated WHERE masked_card IS NOT NULL
+          WINDOW span AS (PARTITION BY masked_card ORDER BY event_timestamp
+                          RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)
+        ) AS windows
+        WHERE date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <=
+          (SELECT max(event_timestamp) FILTER (WHERE masked_card IS NOT NULL) FROM dated) - INTERVAL 2 HOUR"""),
+    "kpi_stream": _scored("""
+        SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, bank_id, channel, count(*) AS txn_count,
+          CAST(sum(CAST(amount AS DECIMAL(18, 6))) AS DOUBLE) AS total_amount
+        FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, event_timestamp) AS window_start FROM dated) AS rows
+        WHERE window_start + INTERVAL 8 HOUR <= (SELECT max(event_timestamp) FROM dated) GROUP BY ALL"""),
+    "kpi_undated": _scored(f"SELECT {_SILVER} FROM clean WHERE event_timestamp = {_AS_OF}"),
+    "bronze_without_repeats": _source(_BRONZE),
 }

@@ -21,13 +21,15 @@ from sluicebox.catalog.fixtures import (
 from sluicebox.catalog.stored import TREE_SUFFIX, flat_tree, stored_layers
 from sluicebox.functions.quality import VALIDITY
 from sluicebox.operators import flat, gold, metrics
+from sluicebox.operators import runs as run_operators
 from sluicebox.operators.bronze import matching_topics, to_bronze
+from sluicebox.operators.decay import decayed_averages
 from sluicebox.operators.feed import clean_feed, publish_frame, unroutable
 from sluicebox.operators.routing import clean_rows, rejected_rows, route_counts
 from sluicebox.operators.silver import add_quality, flatten, parse_events, parse_once, to_silver
 from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.plans.report import build_report
-from sluicebox.schemas import EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
+from sluicebox.schemas import BRONZE_SCHEMA, EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from sluicebox.session import make_folder, shared_folder
 from sluicebox.sinks.files import (
     export_banks_csv,
@@ -48,7 +50,10 @@ from sluicebox.sources.layers import (
     read_silver,
 )
 from sluicebox.streaming.ingest import ALL_AVAILABLE, start_bronze
+from sluicebox.streaming.kpi import dated, start_kpi, start_undated
 from sluicebox.streaming.refine import start_silver, stream_bronze
+from sluicebox.streaming.repeats import start_without_repeats
+from sluicebox.streaming.velocity import start_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -545,3 +550,94 @@ def velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("garbage_alert")
 def garbage_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(gold.garbage_alert(_scored(spark, sf_dir), 0.35, "1 hour"))
+
+
+@query("garbage_incidents")
+def garbage_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(run_operators.garbage_incidents(_scored(spark, sf_dir), 0.35, 3600))
+
+
+@query("garbage_incidents_with_pauses")
+def garbage_incidents_with_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to two quiet windows do not end an incident; buckets of four windows, so that most incidents cross an edge."""
+    return _comparable(run_operators.garbage_incidents(_scored(spark, sf_dir), 0.3, 1800, quiet_windows=2, bucket_windows=4))
+
+
+@query("card_sessions")
+def card_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(run_operators.card_sessions(_stored_silver(spark, sf_dir), 6 * 3600, 12 * 3600))
+
+
+@query("decayed_averages")
+def decayed_average_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To nine significant digits, as sums of doubles depend on their order."""
+    rows = decayed_averages(_stored_silver(spark, sf_dir), 6 * 3600)
+    digits = [F.round(c, 6).alias(c) for c in ("decayed_count", "decayed_average")]
+    return _comparable(rows.select("masked_card", "event_timestamp", "txn_count", *digits))
+
+
+@query("offset_audit")
+def offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing ranges and repeats of a bronze layer in which some records were read twice; ranges of 1,000 offsets."""
+    bronze = read_bronze(spark, stored_layers(spark, sf_dir).bronze)
+    return run_operators.offset_audit(bronze.unionAll(bronze.filter(F.col("offset") % 97 == 0)), 1000)
+
+
+# Streams over silver
+
+ORDERED_PARTS = 4
+
+
+def _time_ordered_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Dated silver rows as one file per part of their time, the oldest first, as a stream would have left them."""
+    rows = dated(_stored_silver(spark, sf_dir))
+    low, high = rows.agg(F.min(F.unix_micros("event_timestamp")), F.max(F.unix_micros("event_timestamp"))).first()
+    path = shared_folder(spark, "ordered-silver")
+    part = F.floor((F.unix_micros("event_timestamp") - low) * ORDERED_PARTS / (high - low + 1))
+    for n in range(ORDERED_PARTS):
+        rows.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _file_stream(spark: SparkSession, path: str, schema: str = SILVER_SCHEMA, files: int = 1) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+@query("velocity_stream")
+def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card velocity from keyed state, over batches and one restart; rows up to the last hour that the watermark has passed."""
+    source, base = _time_ordered_silver(spark, sf_dir), shared_folder(spark, "velocity-stream")
+    for _ in range(2):
+        start_velocity(
+            _file_stream(spark, source), f"{base}/rows", f"{base}/checkpoint", 6 * 3600, "2 hours", 3600
+        ).awaitTermination()
+    return _comparable(spark.read.parquet(f"{base}/rows"))
+
+
+@query("kpi_stream")
+def kpi_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of the stream that the watermark has passed."""
+    source, base = _time_ordered_silver(spark, sf_dir), shared_folder(spark, "kpi-stream")
+    start_kpi(_file_stream(spark, source), f"{base}/rows", f"{base}/checkpoint", "6 hours", "2 hours").awaitTermination()
+    return _comparable(spark.read.parquet(f"{base}/rows"))
+
+
+@query("kpi_undated")
+def kpi_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a time of their own, which no window counts."""
+    base = shared_folder(spark, "undated")
+    start_undated(_file_stream(spark, stored_layers(spark, sf_dir).silver, files=1000), f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    return _comparable(spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/rows").select(*SILVER_COLUMNS))
+
+
+@query("bronze_without_repeats")
+def bronze_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze files, the same files again, and a second replay after a restart: every record is there once."""
+    layers, base = stored_layers(spark, sf_dir), shared_folder(spark, "replayed")
+    bronze = read_bronze(spark, layers.bronze)
+    for run in range(2):
+        for _ in range(2 - run):
+            bronze.write.mode("append").parquet(f"{base}/replayed")
+        source = _file_stream(spark, f"{base}/replayed", BRONZE_SCHEMA, 2)
+        start_without_repeats(source, f"{base}/rows", f"{base}/checkpoint", within="400 days").awaitTermination()
+    return _comparable(spark.read.schema(BRONZE_SCHEMA).parquet(f"{base}/rows"))
