@@ -152,7 +152,7 @@ def test_trees_find_the_nearest_entries(seed):
     leaves = tree.left < 0
     assert sorted(zip(tree.low[leaves], tree.high[leaves]))[0][0] == 0 and tree.weight[0] == len(points)
     assert (tree.points[tree.place] == points).all() and (tree.total[0] == points.sum(0)).all()
-    book = np.vstack([points[::30], points[::30], rng.integers(-900, 900, size=(30, 5))]).astype(float)
+    book = np.vstack([points[399::30], points[399::30], rng.integers(-900, 900, size=(30, 5))]).astype(float)
     entry, owned = codes.nearest_entries(tree, book)
     square = ((tree.points[:, None] - book[None]) ** 2).sum(2)
     assert (entry == square.argmin(1)).all() and any(tree.left[b] >= 0 for b in owned)
