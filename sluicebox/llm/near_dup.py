@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import whole_text, written
@@ -31,6 +31,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 3
 REGISTERS = BANDS * ROWS
 CHUNK_BYTES = 1_000_000
+LACKING = 2**32  # beyond the hashes of elements
 MOST_BROADCAST_ROWS = 1_000_000  # of eight bytes each; beyond it the same join shuffles
 TURNS = 3  # two more leaders, then everything that is left
 
@@ -234,48 +235,96 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _against_hub(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of each hub and node: the size of the node's set, how much of it the hub has, the rest, and whether counts vary."""
+    """Of each hub and node: sizes of both, how many of the hub's elements the node lacks, where they differ, and whether counts vary.
+
+    ``differing`` holds what the node has beside the hub, and, from ``LACKING`` on, what it lacks of it.
+    """
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for hub, own, counts, hub_counts in zip(batch["hh"], batch["nh"], batch["nc"], batch["hc"], strict=True):
-                mine = np.frombuffer(own, np.uint32)
-                rest = mine[~np.isin(mine, np.frombuffer(hub, np.uint32))]
-                rows.append((len(mine), len(mine) - len(rest), rest.astype(np.int64), bool(counts or hub_counts)))
-            yield pd.DataFrame({
-                "hub": batch["hub"], "node": batch["node"], "size": [r[0] for r in rows], "common": [r[1] for r in rows],
-                "rest": [r[2] for r in rows], "weighted": [r[3] for r in rows],
-            })
+                mine, its = np.frombuffer(own, np.uint32), np.frombuffer(hub, np.uint32)
+                beside = np.setdiff1d(mine, its, assume_unique=True).astype(np.int64)
+                lacking = np.setdiff1d(its, mine, assume_unique=True).astype(np.int64)
+                rows.append((len(mine), len(its), len(lacking), np.concatenate([beside, lacking + LACKING]), bool(counts or hub_counts)))
+            columns = ("size", "hub_size", "lacks", "differing", "weighted")
+            yield batch[["hub", "node"]].assign(**dict(zip(columns, zip(*rows, strict=True), strict=True)))
 
     of_hub = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hh"), F.col("counts").alias("hc"))
     of_node = sets.select("node", F.col("hashes").alias("nh"), F.col("counts").alias("nc"))
     joined = pairs.join(of_node, "node").join(of_hub, "hub").select("hub", "node", "hh", "hc", "nh", "nc")
-    return joined.mapInPandas(compare, "hub long, node long, size long, common long, rest array<long>, weighted boolean")
+    return joined.mapInPandas(compare, "hub long, node long, size long, hub_size long, lacks long, differing array<long>, weighted boolean")
+
+
+def _shares(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """hub, node and the other columns, with each element of the node's set and its share of all counts."""
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            elements = [np.frombuffer(h, np.uint32).astype(np.int64) for h in batch.pop("hashes")]
+            counts = [np.frombuffer(c, np.uint32) if c else np.ones(len(e)) for c, e in zip(batch.pop("counts"), elements, strict=True)]
+            yield batch.assign(elements=elements, shares=[c / c.sum() for c in counts])
+
+    kinds = "node long, hub long, minor boolean, label long, weighted boolean, elements array<long>, shares array<double>"
+    rows = nodes.join(sets, "node").select("node", "hub", "minor", "label", "weighted", "hashes", "counts").mapInPandas(compute, kinds)
+    zipped = F.explode(F.arrays_zip("elements", "shares")).alias("e")
+    return rows.select("node", "hub", "minor", "label", "weighted", zipped).select(
+        "node", "hub", "minor", "label", "weighted", F.col("e.elements").alias("element"), F.col("e.shares").alias("share")
+    )
+
+
+def _rarest_first(elements: DataFrame) -> tuple[DataFrame, Window]:
+    """With the number of nodes of the hub that have an element, and the order in which a node's elements come."""
+    held = elements.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("nodes"))
+    return elements.join(held, ["hub", "element"]), Window.partitionBy("hub", "node").orderBy("nodes", "element")
+
+
+def _meeting(minors: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs of a minor node and another of a different class that have an element in common."""
+    met = minors.alias("u").join(others.alias("v"), ["hub", "element"]).where(F.col("u.label") != F.col("v.label"))
+    return met.select(F.col("u.node").alias("x"), F.col("v.node").alias("y"), F.col("u.weighted").alias("wx"), F.col("v.weighted").alias("wy"))
 
 
 def _rest_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Every pair of different classes of a bucket that can still be a link.
 
-    With the bucket's hub h, two sets share what both have of h, and what both have beside it. So if they share nothing
-    beside h, they can only be similar enough if each has enough of h for the sizes of both. All other pairs share an
-    element beside h and meet at that. Pairs with counts above one, for which sizes say less, are all kept. Pairs within
-    a class and pairs of two members of the largest class need no comparison.
+    All members were compared with the bucket's hub h, so a minor node (one outside the hub's class) has no link to it. Write d(x) for the
+    elements in which x and h differ. Two sets of counts one share |h| - lacks(x) - lacks(y) + |d(x) & d(y)| elements, and a link needs
+    0.8 / 1.8 (|x| + |y|) of them. If d(x) and d(y) share nothing, y is no nearer to x than h is; so a minor node has links
+    only to nodes that share at least t >= 1 elements of d, where t follows from the sizes. With one order of elements for all,
+    rarest first, two sets that share t elements also share one among the first |d| - t + 1 of each: only those are
+    joined. t is the least over all possible partners.
+
+    Where counts vary, a link needs shared elements with 0.8 of the counts of either side, as the probability Jaccard similarity is at most the sum
+    of the smaller shares. So both have a shared element among the rarest that make up 0.2. Pairs within a class need no comparison.
     """
-    hub = members.groupBy("key").agg(F.min(F.struct(-F.col("popularity"), "node"))["node"].alias("hub"))
-    grouped = members.join(hub, "key").select("hub", "node", "label").distinct()
-    sizes = grouped.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("hub").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+    hub = members.groupBy("key").agg(F.min(F.struct(-F.col("popularity"), "node", "label")).alias("h"))
+    grouped = members.join(hub, "key").select(F.col("h.node").alias("hub"), "node", "label", F.col("h.label").alias("of_hub")).distinct()
     stats = _against_hub(grouped.select("hub", "node"), sets)
-    full = written(grouped.join(largest, "hub").join(stats, ["hub", "node"]), "open")
-    minor = full.where("label <> largest").select("hub", *[F.col(c).alias(f"u_{c}") for c in ("node", "label", "size", "common", "weighted", "rest")])
-    different = (F.col("u_label") != F.col("label")) & ((F.col("label") == F.col("largest")) | (F.col("u_node") < F.col("node")))
-    enough = F.least("u_common", "common") * (1 + SIMILARITY) >= SIMILARITY * (F.col("u_size") + F.col("size"))
-    by_hub = minor.drop("u_rest").join(full.drop("rest"), "hub").where(different & (F.col("u_weighted") | F.col("weighted") | enough))
-    beside = minor.select("hub", "u_node", "u_label", F.explode("u_rest").alias("element")).join(
-        full.select("hub", "node", "label", "largest", F.explode("rest").alias("element")), ["hub", "element"]
-    ).where(different)
-    pairs = by_hub.select("u_node", "node").unionAll(beside.select("u_node", "node"))
-    return pairs.select(F.least("u_node", "node").alias("a"), F.greatest("u_node", "node").alias("b")).distinct()
+    full = written(grouped.join(stats, ["hub", "node"]).withColumn("minor", F.col("label") != F.col("of_hub")), "open")
+    part = SIMILARITY / (1 + SIMILARITY)
+    burden = part * F.col("size") + F.col("lacks")
+    least = full.groupBy("hub").agg(F.min(burden).alias("least"), F.min(F.when(F.col("minor"), burden)).alias("least_minor"))
+    needed = burden - F.col("hub_size") - 1e-6
+
+    def kept(partner: str) -> Column:
+        return F.col("n") - F.greatest(F.ceil(needed + F.col(partner)), F.lit(1)) + 1
+
+    plain = full.where(~F.col("weighted")).join(least.where("least_minor is not null"), "hub")
+    lengths = plain.withColumn("n", F.size("differing")).select(
+        "hub", "node", "label", "minor", "weighted", kept("least").alias("as_minor"), kept("least_minor").alias("as_other"), F.explode("differing").alias("element")
+    )
+    ordered, order = _rarest_first(lengths)
+    placed = written(ordered.withColumn("place", F.row_number().over(order)).where("nodes > 1 and place <= greatest(as_minor, as_other)"), "prefixes")
+    alike = _meeting(placed.where("minor and place <= as_minor"), placed.where("place <= as_other"))
+
+    uneven = full.join(full.where("weighted").select("hub").distinct(), "hub", "left_semi")
+    uneven = uneven.join(least.where("least_minor is not null").select("hub"), "hub", "left_semi")
+    ordered, order = _rarest_first(_shares(uneven.select("node", "hub", "minor", "label", "weighted"), sets))
+    before = F.coalesce(F.sum("share").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    first = written(ordered.withColumn("before", before).where(F.col("before") <= 1 - SIMILARITY + 1e-6).where("nodes > 1"), "prefixes")
+    uneven_pairs = _meeting(first.where("minor"), first).where("wx or wy")
+    pairs = alike.select("x", "y").unionAll(uneven_pairs.select("x", "y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
