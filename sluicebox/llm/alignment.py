@@ -37,13 +37,15 @@ from sluicebox.llm.common import whole_text, written
 MARK = "▁"
 LOOSE = re.compile(r"\s | $")  # where a blank is no cut by itself
 UNITS_AT_ONCE, CHARACTERS_AT_ONCE = 20_000, 2_000_000
-REMEMBERED_UNITS, REMEMBERED_LENGTH = 200_000, 64  # of each of two generations in a task process; longer units are not kept
+REMEMBERED_UNITS, REMEMBERED_LENGTH = 250_000, 64  # of each of two generations in a task process; longer units are not kept
 PAIRS_AT_ONCE = 4_000_000
 COMMON_PAIRS = 1_000_000  # of 17 bytes each, in every task
 
 
 # An aligned unit: whether both spell it exactly, tokens of A, of B, groups, the groups as text, and the links as packed pair numbers.
 Unit = tuple[bool, int, int, int, bytes, bytes]
+LOSSY: Unit = (False, 0, 0, 0, b"", b"")
+JOINED_UNITS = 50
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -92,7 +94,7 @@ class Tokenizers:
         return found
 
     def align(self, units: list[str]) -> Aligned:
-        """Token ids and byte ends of all units, laid end to end."""
+        """Token ids and byte ends of all units (or joined ones), laid end to end."""
         spaced = [f" {u}" for u in units]
         whole = "".join(spaced)
         codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
@@ -134,20 +136,52 @@ class Tokenizers:
         return long_enough
 
     def unit_rows(self, units: list[str]) -> list[Unit]:
-        """What documents are put together from."""
-        aligned = self.align(units)
+        """What documents are put together from. Units are joined for the tokenizers, as no token reaches from one to the next."""
+        joined = self._joined(units)
+        aligned = self.align([" ".join(units[low:high]) for low, high in joined])
+        rows: list[Unit] = [LOSSY] * len(units)
+        good, alone = [], []
+        for (low, high), lossless in zip(joined, aligned.lossless.tolist(), strict=True):
+            if lossless:
+                good.extend(range(low, high))
+            elif high - low > 1:
+                alone.extend(range(low, high))
+        for place, row in zip(good, self._rows_of(aligned, units, np.array(good, np.int64)), strict=True):
+            rows[place] = row
+        if alone:  # one of them is not spelled exactly
+            for place in alone:
+                rows[place] = self.unit_rows([units[place]])[0]
+        return rows
+
+    def _joined(self, units: list[str]) -> list[tuple[int, int]]:
+        """Bounds of parts to be joined; units that end in white space could be merged with a blank behind them."""
+        bounds, low = [], 0
+        for place, unit in enumerate(units):
+            if not self.cut or unit[-1:].isspace() or not unit or place - low + 1 == JOINED_UNITS:
+                if place > low and (not self.cut or unit[-1:].isspace() or not unit):
+                    bounds.append((low, place))
+                    low = place
+                bounds.append((low, place + 1))
+                low = place + 1
+        return bounds + ([(low, len(units))] if low < len(units) else [])
+
+    def _rows_of(self, aligned: Aligned, all_units: list[str], good: np.ndarray) -> list[Unit]:
+        """Rows of the units whose places are given; tokens fall to units by their ends."""
         a, ends_a, b, ends_b = aligned.lossless_tokens()
+        bounds = np.cumsum([len(u.encode()) + 1 for u in all_units])[good]
+        units = len(good)
         ends = np.union1d(ends_a, ends_b)
         at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         pairs = a[at_a] * self.size_b + b[at_b]
         closing = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
-        counts_a, counts_b = aligned.n_a * aligned.lossless, aligned.n_b * aligned.lossless
-        unit_a, unit_b = np.repeat(np.arange(len(units)), counts_a), np.repeat(np.arange(len(units)), counts_b)
+        unit_a, unit_b = np.searchsorted(bounds, ends_a), np.searchsorted(bounds, ends_b)
+        counts_a, counts_b = np.bincount(unit_a, minlength=units), np.bincount(unit_b, minlength=units)
         unit_of_end = unit_a[at_a]
-        n_links, n_groups = np.bincount(unit_of_end, minlength=len(units)), np.bincount(unit_a[closing[0]], minlength=len(units))
+        n_links, n_groups = np.bincount(unit_of_end, minlength=units), np.bincount(unit_a[closing[0]], minlength=units)
         # Ids as digits with a mark behind each: ',' within a group, '|' between the sides, ';' after a group.
-        cells_a = digits(a, np.where(closing[0], ord("|"), ord(",")))
-        cells_b = digits(b, np.where(closing[1], ord(";"), ord(",")))
+        width = len(str(max(len(self.bytes_a), self.size_b)))
+        cells_a = digits(a, np.where(closing[0], ord("|"), ord(",")), width)
+        cells_b = digits(b, np.where(closing[1], ord(";"), ord(",")), width)
         group_a = np.cumsum(closing[0]) - closing[0]
         group_b = np.cumsum(closing[1]) - closing[1]
         order = np.lexsort((np.concatenate([np.zeros(len(a)), np.ones(len(b))]), np.concatenate([group_a, group_b])))
@@ -155,13 +189,13 @@ class Tokenizers:
         of_unit = np.concatenate([unit_a, unit_b])[order]
         shown = cells != 0
         text = cells[shown].tobytes()
-        cut = np.concatenate([[0], np.cumsum(np.bincount(of_unit, shown.sum(1), len(units)).astype(np.int64))]).tolist()
+        cut = np.concatenate([[0], np.cumsum(np.bincount(of_unit, shown.sum(1), units).astype(np.int64))]).tolist()
         links = np.concatenate([[0], np.cumsum(n_links * self.kind.itemsize)]).tolist()
         packed_pairs = pairs.astype(self.kind).tobytes()
-        columns = (x.tolist() for x in (aligned.lossless, counts_a, counts_b, n_groups))
+        columns = (x.tolist() for x in (counts_a, counts_b, n_groups))
         return [
-            (ok, x, y, g, text[cut[k] : cut[k + 1] - 1], packed_pairs[links[k] : links[k + 1]])
-            for k, (ok, x, y, g) in enumerate(zip(*columns, strict=True))
+            (True, x, y, g, text[cut[k] : cut[k + 1] - 1], packed_pairs[links[k] : links[k + 1]])
+            for k, (x, y, g) in enumerate(zip(*columns, strict=True))
         ]
 
 
@@ -181,9 +215,8 @@ class Aligned(NamedTuple):
         return self.a[in_a], self.ends_a[in_a], self.b[in_b], self.ends_b[in_b]
 
 
-def digits(ids: np.ndarray, mark: np.ndarray) -> np.ndarray:
+def digits(ids: np.ndarray, mark: np.ndarray, width: int) -> np.ndarray:
     """Decimal digits of each id, then its mark, in rows of bytes; zero bytes stand for nothing."""
-    width = len(str(int(ids.max()))) if len(ids) else 1
     powers = 10 ** np.arange(width - 1, -1, -1)
     figures = ids[:, None] // powers
     shown = (figures > 0) | (powers == 1)
