@@ -33,7 +33,6 @@ REGISTERS = BANDS * ROWS
 CHUNK_BYTES = 1_000_000
 LACKING = 2**32  # beyond the hashes of elements
 MOST_BROADCAST_ROWS = 1_000_000  # of eight bytes each; beyond it the same join shuffles
-TURNS = 3  # two more leaders, then everything that is left
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -278,10 +277,10 @@ def _rarest_first(elements: DataFrame) -> tuple[DataFrame, Window]:
     return elements.join(held, ["hub", "element"]), Window.partitionBy("hub", "node").orderBy("nodes", "element")
 
 
-def _meeting(minors: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs of a minor node and another of a different class that have an element in common."""
-    met = minors.alias("u").join(others.alias("v"), ["hub", "element"]).where(F.col("u.label") != F.col("v.label"))
-    return met.select(F.col("u.node").alias("x"), F.col("v.node").alias("y"), F.col("u.weighted").alias("wx"), F.col("v.weighted").alias("wy"))
+def _meeting(minors: DataFrame, others: DataFrame, possible: Column) -> DataFrame:
+    """Pairs of a minor node (u) and another of a different class (v) that have an element in common, as far as they can be a link."""
+    met = minors.alias("u").join(others.alias("v"), ["hub", "element"]).where((F.col("u.label") != F.col("v.label")) & possible)
+    return met.select(F.col("u.node").alias("x"), F.col("v.node").alias("y"))
 
 
 def _rest_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,19 +309,24 @@ def _rest_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         return F.col("n") - F.greatest(F.ceil(needed + F.col(partner)), F.lit(1)) + 1
 
     plain = full.where(~F.col("weighted")).join(least.where("least_minor is not null"), "hub")
-    lengths = plain.withColumn("n", F.size("differing")).select(
-        "hub", "node", "label", "minor", "weighted", kept("least").alias("as_minor"), kept("least_minor").alias("as_other"), F.explode("differing").alias("element")
+    lengths = plain.withColumns({"n": F.size("differing"), "burden": burden}).select(
+        "hub", "node", "label", "minor", "weighted", "size", "n", (F.col("burden") - F.col("hub_size") / 2).alias("share"),
+        kept("least").alias("as_minor"), kept("least_minor").alias("as_other"), F.explode("differing").alias("element"),
     )
     ordered, order = _rarest_first(lengths)
     placed = written(ordered.withColumn("place", F.row_number().over(order)).where("nodes > 1 and place <= greatest(as_minor, as_other)"), "prefixes")
-    alike = _meeting(placed.where("minor and place <= as_minor"), placed.where("place <= as_other"))
+    # From the first shared element on, no more can be shared than what follows in both; and no more than the smaller set has.
+    follow = 1 + F.least(F.col("u.n") - F.col("u.place"), F.col("v.n") - F.col("v.place"))
+    fit = F.least("u.size", "v.size") >= SIMILARITY * F.greatest("u.size", "v.size")
+    enough = fit & (follow >= F.col("u.share") + F.col("v.share") - 1e-6)
+    alike = _meeting(placed.where("minor and place <= as_minor"), placed.where("place <= as_other"), enough)
 
     uneven = full.join(full.where("weighted").select("hub").distinct(), "hub", "left_semi")
     uneven = uneven.join(least.where("least_minor is not null").select("hub"), "hub", "left_semi")
     ordered, order = _rarest_first(_shares(uneven.select("node", "hub", "minor", "label", "weighted"), sets))
     before = F.coalesce(F.sum("share").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     first = written(ordered.withColumn("before", before).where(F.col("before") <= 1 - SIMILARITY + 1e-6).where("nodes > 1"), "prefixes")
-    uneven_pairs = _meeting(first.where("minor"), first).where("wx or wy")
+    uneven_pairs = _meeting(first.where("minor"), first, F.col("u.weighted") | F.col("v.weighted"))
     pairs = alike.select("x", "y").unionAll(uneven_pairs.select("x", "y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -351,16 +355,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     alone = members.withColumn("label", F.col("node"))
     links = written(verified(_leader_pairs(alone, -F.col("popularity")), sets), "links")
     labels = components(links)
-    for turn in range(TURNS):
-        still = written(_open(members, labels), "open")
-        if not still.limit(1).count():
-            break
-        last = turn == TURNS - 1
-        pairs = _rest_pairs(still, sets) if last else _leader_pairs(still, F.xxhash64("node", F.lit(turn)))
-        more = written(verified(pairs, sets), "links")
+    still = written(_open(members, labels), "open")
+    if still.limit(1).count():
+        more = written(verified(_rest_pairs(still, sets), sets), "links")
         if more.limit(1).count():
-            links = links.unionAll(more)
-            labels = components(links)
+            labels = components(links.unionAll(more))
 
     classes = texts.select("text_key", "node").join(labels, "node", "left").select("text_key", F.coalesce("label", "node").alias("class_id"))
     found = sketched.select("doc_id", "text_key").join(classes, "text_key", "left")
