@@ -385,4 +385,13 @@ ORACLE: dict[str, str] = {
         WHERE window_start + INTERVAL 8 HOUR <= (SELECT max(event_timestamp) FROM dated) GROUP BY ALL"""),
     "kpi_undated": _scored(f"SELECT {_SILVER} FROM clean WHERE event_timestamp = {_AS_OF}"),
     "bronze_without_repeats": _source(_BRONZE),
+    "bronze_timed_trigger": _source(_BRONZE),
+    "ingest_two_queries": _source("SELECT input_topic AS topic, count(*) AS n FROM records GROUP BY input_topic"),
+    "layers_required": _scored("""
+        SELECT 'bronze' AS layer, count(*) AS n, 'silver' AS named_when_absent FROM scored
+        UNION ALL SELECT 'silver', count(*), 'silver' FROM clean"""),
+    "health_text": _scored("""
+        SELECT count(*) AS total_bronze, count(*) FILTER (WHERE quality_score = 'CLEAN') AS total_silver,
+          printf('%.1f%%', count(*) FILTER (WHERE quality_score = 'CLEAN') / count(*) * 100) AS health
+        FROM scored"""),
 }

@@ -41,15 +41,17 @@ from sluicebox.sinks.files import (
 )
 from sluicebox.sources.flat_files import flat_folders, scan_flat_files
 from sluicebox.sources.layers import (
+    LayerNotReady,
     read_bronze,
     read_csv_rows,
     read_flat_garbage,
     read_flat_silver,
     read_garbage,
     read_garbage_if_any,
+    read_required,
     read_silver,
 )
-from sluicebox.streaming.ingest import ALL_AVAILABLE, start_bronze
+from sluicebox.streaming.ingest import ALL_AVAILABLE, run_ingest, start_bronze
 from sluicebox.streaming.kpi import dated, start_kpi, start_undated
 from sluicebox.streaming.refine import start_silver, stream_bronze
 from sluicebox.streaming.repeats import start_without_repeats
@@ -641,3 +643,51 @@ def bronze_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = _file_stream(spark, f"{base}/replayed", BRONZE_SCHEMA, 2)
         start_without_repeats(source, f"{base}/rows", f"{base}/checkpoint", within="400 days").awaitTermination()
     return _comparable(spark.read.schema(BRONZE_SCHEMA).parquet(f"{base}/rows"))
+
+
+# Ingestion jobs
+
+
+@query("bronze_timed_trigger")
+def bronze_timed_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from micro-batches that a timer starts, until all that is there has been read."""
+    source = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    base = shared_folder(spark, "bronze-timed")
+    running = start_bronze(kafka_records(source), f"{base}/bronze", f"{base}/checkpoint", {"processingTime": "1 second"})
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return _comparable(read_bronze(spark, f"{base}/bronze"))
+
+
+@query("ingest_two_queries")
+def ingest_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingestion job with its console echo, twice with one checkpoint: rows per topic."""
+    source = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    base = shared_folder(spark, "ingest")
+    for _ in range(2):
+        run_ingest(spark, kafka_records(source), f"{base}/bronze", f"{base}/checkpoint", ALL_AVAILABLE, echo=True)
+    return read_bronze(spark, f"{base}/bronze").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("health_text")
+def health_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of clean rows as the monitor shows it."""
+    stored = stored_layers(spark, sf_dir)
+    row = metrics.health_rate(read_bronze(spark, stored.bronze), read_silver(spark, stored.silver)).first()
+    shown = [(row["total_bronze"], row["total_silver"], metrics.percent_text(row["health_rate"]))]
+    return spark.createDataFrame(shown, "total_bronze BIGINT, total_silver BIGINT, health STRING")
+
+
+@query("layers_required")
+def layers_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the layers that a report needs, where both are there; and the layer it names where silver is not."""
+    stored = stored_layers(spark, sf_dir)
+    bronze, silver = read_required(spark, stored.bronze, stored.silver)
+    counts = metrics.layer_counts(bronze=bronze, silver=silver)
+    try:
+        read_required(spark, stored.bronze, f"{stored.silver}-absent")
+    except LayerNotReady as error:
+        return counts.withColumn("named_when_absent", F.lit(error.layer))
+    raise AssertionError("a report was given a layer that is not there")
