@@ -63,31 +63,90 @@ PLAIN = {"lower": ("[a-z]", 0.93, 26), "upper": ("[A-Z]", 0.04, 26), "digit": ("
 PLACE = "struct<start:int,end:int,ok:boolean,token:string>"
 
 
-def _places(text: Column, pattern: str, value_group: int | None = None) -> Column:
-    """Start, end and text of all matches; positions follow from the lengths of matches and of the texts between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    ok = found if value_group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    zipped = F.arrays_zip(between.alias("gap"), found.alias("found"), ok.alias("value"))
-
-    def step(at: Column, x: Column) -> Column:
-        start = at["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["found"])
-        place = F.struct(
-            start.alias("start"), end.alias("end"), (F.char_length(x["value"]) >= LEAST_VALUE).alias("ok"), x["found"].alias("token")
-        )
-        return F.struct(end.alias("at"), F.concat(at["places"], F.array(place)).alias("places"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{PLACE}>").alias("places"))
-    places = F.aggregate(zipped, begin, step, lambda at: at["places"])
-    return F.when(text.rlike(pattern), places).otherwise(F.array().cast(f"array<{PLACE}>"))
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of whole numbers under an associative ``join`` with neutral element 0.
+
+    Lists grow by copying, so they are kept short: totals within stretches of about the root of the length, then totals
+    over the stretches.
+    """
+    none = F.array().cast("array<int>")
+
+    def last(totals: Column) -> Column:
+        return F.coalesce(F.try_element_at(totals, F.lit(-1)), F.lit(0))
+
+    def totals(part: Column, value: Callable[[Column], Column]) -> Column:
+        return F.aggregate(part, none, lambda at, x: F.concat(at, F.array(join(last(at), value(x)))))
+
+    def over(parts: Column) -> Column:
+        carried = F.concat(F.array(F.lit(0)), totals(parts, last))
+        carried = F.slice(carried, F.lit(1), F.size(parts))
+        return F.flatten(F.zip_with(parts, carried, lambda part, at: F.transform(part, lambda x: join(at, x))))
+
+    return _let(F.transform(_stretches(values), lambda part: totals(part, lambda x: x)), over)
+
+
+def _stretches(values: Column) -> Column:
+    """The list cut into lists of about the root of its length."""
+    def cut(whole: Column) -> Column:
+        step = F.greatest(F.ceil(F.sqrt(F.size(whole).cast("double"))).cast("int"), F.lit(1))
+        first = F.filter(F.sequence(F.lit(0), F.floor(F.size(whole) / step).cast("int")), lambda k: k * step < F.size(whole))
+        return F.transform(first, lambda k: F.slice(whole, k * step + 1, step))
+
+    return _let(values, cut)
+
+
+def _places(text: Column, pattern: str, value_group: int | None = None) -> Column:
+    """Start, end and text of all matches; positions follow from the lengths of matches and of the texts between them."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = found if value_group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
+    # The text after the last match is one element more, without a match.
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"), value.alias("value"))
+    matches = F.filter(zipped, lambda x: x["found"].isNotNull())
+
+    def placed(rows: Column) -> Column:
+        ends = _running(F.transform(rows, lambda x: F.char_length(x["gap"]) + F.char_length(x["found"])), lambda a, b: a + b)
+        return F.zip_with(rows, ends, lambda x, end: F.struct(
+            (end - F.char_length(x["found"])).alias("start"), end.alias("end"),
+            (F.char_length(x["value"]) >= LEAST_VALUE).alias("ok"), x["found"].alias("token"),
+        ))
+
+    return F.when(text.rlike(pattern), _let(matches, placed)).otherwise(F.array().cast(f"array<{PLACE}>"))
+
+
+def _apart(tokens: Column, taken: Column) -> Column:
+    """The tokens that no taken place overlaps.
+
+    In order of places, the furthest end among those that begin before a token ends tells whether one reaches into it. Tokens do
+    not overlap each other, so their order by end is their order.
+    """
+    def asked(token: Column) -> Column:
+        return F.struct((token["end"] - 1).alias("at"), F.lit(1).alias("asks"), F.lit(0).alias("end"))
+
+    def kept(rows: Column, others: Column) -> Column:
+        begun = F.transform(others, lambda p: F.struct(p["start"].alias("at"), F.lit(0).alias("asks"), p["end"].alias("end")))
+        return _let(F.sort_array(F.concat(begun, F.transform(rows, asked))), lambda events: F.transform(
+            F.filter(
+                F.zip_with(rows, reach_of(events), lambda t, reach: F.struct(t.alias("token"), (reach <= t["start"]).alias("free"))),
+                lambda x: x["free"],
+            ),
+            lambda x: x["token"],
+        ))
+
+    def reach_of(events: Column) -> Column:
+        reach = _running(F.transform(events, lambda e: e["end"]), F.greatest)
+        both = F.zip_with(events, reach, lambda e, end: F.struct(e["asks"].alias("asks"), end.alias("end")))
+        return F.transform(F.filter(both, lambda e: e["asks"] == 1), lambda e: e["end"])
+
+    return F.when((F.size(tokens) == 0) | (F.size(taken) == 0), tokens).otherwise(
+        _let(taken, lambda others: kept(tokens, others))
+    )
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the normal law, by the rational approximation of the error function (error below 2e-7)."""
     def of(x: Column, z: Column) -> Column:
@@ -166,9 +225,7 @@ def _scan(rows: DataFrame, keep: list[str]) -> DataFrame:
     )
     kept = found.withColumn("assign", F.filter("assign", lambda p: p["ok"]))
     taken = F.concat("assign", "access", "hex")
-    free = F.filter(
-        "tokens", lambda t: ~F.exists(taken, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    )
+    free = _apart(F.col("tokens"), taken)
     spans = [
         F.transform(k, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"))).alias(k) for k in KINDS[:3]
     ]
@@ -246,22 +303,35 @@ def secret_digest(found: DataFrame) -> DataFrame:
 
 
 def mask_secrets(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, with each found span (overlapping ones as one) replaced by its kind in brackets."""
-    least = thresholds(written(scan(documents), "secrets"))
-    rows = documents.select(F.struct("*").alias("__row"), whole_text().alias("__text"))
-    scanned = _scan(rows, ["__row", "__text"])
-    spanned = scanned.select("__row", "__text", _spans(scanned, least).alias("__spans"))
-    names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-
-    def step(at: Column, s: Column) -> Column:
-        new = s["start"] >= at["at"]
-        kept = F.substr(F.col("__text"), at["at"] + 1, s["start"] - at["at"])
-        text = F.when(new, F.concat(at["text"], kept, F.element_at(names, s["kind"] + 1))).otherwise(at["text"])
-        return F.struct(F.greatest(at["at"], s["end"]).alias("at"), text.alias("text"))
+    """The documents, all columns, with each found span (overlapping ones as one) replaced by its kind in brackets.
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    masked = F.aggregate(
-        "__spans", begin, step, lambda at: F.concat(at["text"], F.substr(F.col("__text"), at["at"] + 1, F.char_length("__text")))
-    )
+    Texts are scanned once: rows and what was found in them are written together and read again.
+    """
+    scanned = written(_scan(documents.select(F.struct("*").alias("__row"), whole_text().alias("__text")), ["__row"]), "secrets")
+    spanned = scanned.select("__row", _spans(scanned, thresholds(scanned)).alias("__spans"))
+    masked = _masked(F.col("__row.text"), F.col("__spans"))
     text = F.when(F.size("__spans") > 0, masked).otherwise(F.col("__row.text"))
     return spanned.select(*[text.alias("text") if c == "text" else F.col("__row")[c].alias(c) for c in documents.columns])
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with its spans, in order, replaced. Cutting starts from the front of a text, hence from pieces of it."""
+    names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
+
+    def outer(ordered: Column) -> Column:
+        return _let(_running(F.transform(ordered, lambda s: s["end"]), F.greatest), lambda reach: joined(ordered, reach))
+
+    def joined(ordered: Column, reach: Column) -> Column:
+        before = F.slice(F.concat(F.array(F.lit(0)), reach), F.lit(1), F.size(ordered))
+        cuts = F.zip_with(ordered, before, lambda s, end: F.struct(end.alias("from"), s["start"].alias("to"), s["kind"].alias("kind")))
+        kept = F.transform(_stretches(F.filter(cuts, lambda c: c["to"] >= c["from"])), of_stretch)
+        return F.concat(F.array_join(kept, ""), F.substr(text, F.element_at(reach, -1) + 1, F.char_length(text)))
+
+    def of_stretch(cuts: Column) -> Column:
+        begin = cuts[0]["from"]
+        piece = F.substr(text, begin + 1, F.element_at(cuts, -1)["to"] - begin)
+        return _let(piece, lambda p: F.array_join(F.transform(cuts, lambda c: F.concat(
+            F.substr(p, c["from"] - begin + 1, c["to"] - c["from"]), F.element_at(names, c["kind"] + 1)
+        )), ""))
+
+    return _let(spans, outer)
