@@ -360,6 +360,11 @@ ORACLE: dict[str, str] = {
             pow(2.0, (epoch(b.event_timestamp) - epoch(a.event_timestamp)) / 21600.0) AS share
           FROM instants AS a JOIN instants AS b ON a.masked_card = b.masked_card AND b.event_timestamp <= a.event_timestamp
         ) AS shares GROUP BY masked_card, event_timestamp, txn_count"""),
+    "kpi_sketches": _scored("""
+        SELECT period, date_trunc(period, event_timestamp)::TIMESTAMP AS window_start, bank_id, count(*) AS txn_count,
+          CAST(sum(CAST(amount AS DECIMAL(18, 6))) AS DOUBLE) AS total_amount, count(DISTINCT masked_card) AS distinct_cards,
+          true AS cards_near, true AS median_near, true AS p95_near
+        FROM clean CROSS JOIN (VALUES ('day'), ('month')) AS periods(period) GROUP BY 1, 2, 3"""),
     "offset_audit": _source("""
         SELECT input_topic AS topic, broker_partition AS partition, 'missing' AS kind, before + 1 AS first_offset, event_id - 1 AS last_offset,
           event_id - before - 1 AS records

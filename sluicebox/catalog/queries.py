@@ -20,7 +20,7 @@ from sluicebox.catalog.fixtures import (
 )
 from sluicebox.catalog.stored import TREE_SUFFIX, flat_tree, stored_layers
 from sluicebox.functions.quality import VALIDITY
-from sluicebox.operators import flat, gold, metrics
+from sluicebox.operators import flat, gold, metrics, sketches
 from sluicebox.operators import runs as run_operators
 from sluicebox.operators.bronze import matching_topics, to_bronze
 from sluicebox.operators.decay import decayed_averages
@@ -578,6 +578,46 @@ def decayed_average_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(rows.select("masked_card", "event_timestamp", "txn_count", *digits))
 
 
+@query("kpi_sketches")
+def kpi_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and months per bank, merged from stored hours of two batches of silver; their estimates are held against silver.
+
+    Beside each estimate stands the exact value, and whether the estimate is within four standard errors of it.
+    """
+    silver, path = _stored_silver(spark, sf_dir), shared_folder(spark, "hours")
+    odd = F.substring("transaction_id", 2, 20).cast("bigint") % 2 == 1
+    for batch in (silver.filter(odd), silver.filter(~odd)):
+        sketches.hourly_states(batch).write.mode("append").parquet(path)
+    days = sketches.per_period(spark.read.parquet(path), "day", "bank_id")
+    months = sketches.per_period(days, "month", "bank_id")
+    periods = [
+        sketches.figures(states).withColumn("period", F.lit(name)) for name, states in (("day", days), ("month", months))
+    ]
+    estimated = periods[0].unionAll(periods[1])
+    names = F.explode(F.array(F.lit("day"), F.lit("month"))).alias("period")
+    rows = silver.select("*", names).withColumn("window_start", F.expr("date_trunc(period, event_timestamp)"))
+    held = rows.join(estimated, ["period", "window_start", "bank_id"]).groupBy("period", "window_start", "bank_id").agg(
+        F.first("txn_count").alias("txn_count"), F.first("total_amount").alias("total_amount"),
+        F.first("distinct_cards").alias("estimate"), F.countDistinct("masked_card").alias("distinct_cards"),
+        *[
+            F.avg((F.col("amount") <= F.col("amount_quantiles")[i]).cast("double")).alias(f"rank_{i}")
+            for i in range(2)
+        ],
+        *[
+            F.avg((F.col("amount") < F.col("amount_quantiles")[i]).cast("double")).alias(f"below_{i}")
+            for i in range(2)
+        ],
+    )
+    near = [
+        (F.col(f"rank_{i}") >= q - 0.027) & (F.col(f"below_{i}") <= q + 0.027) for i, q in enumerate((0.5, 0.95))
+    ]
+    return _comparable(held.select(
+        "period", "window_start", "bank_id", "txn_count", "total_amount", "distinct_cards",
+        (F.abs(F.col("estimate") - F.col("distinct_cards")) <= 0.065 * F.col("distinct_cards")).alias("cards_near"),
+        near[0].alias("median_near"), near[1].alias("p95_near"),
+    ))
+
+
 @query("offset_audit")
 def offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing ranges and repeats of a bronze layer in which some records were read twice; ranges of 1,000 offsets."""
