@@ -243,6 +243,9 @@ ORACLE: dict[str, str] = {
     "silver_stream_restart": _scored(f"SELECT {_SILVER} FROM scored UNION ALL SELECT {_SILVER} FROM scored"),
     "silver_stream": _scored(f"""
         SELECT CASE WHEN quality_score = 'CLEAN' THEN 'silver' ELSE 'garbage' END AS layer, {_SILVER} FROM scored"""),
+    "layers_compacted": _scored(f"""
+        SELECT CASE WHEN quality_score = 'CLEAN' THEN 'silver' ELSE 'garbage' END AS layer, stage, {_SILVER}
+        FROM scored CROSS JOIN (VALUES ('before'), ('compacted'), ('dropped'), ('continued'), ('continued')) AS stages(stage)"""),
     "fan_out_status": _scored("""
         SELECT 'silver' AS sink, true AS ok, count(*) AS rows FROM clean
         UNION ALL SELECT 'csv', true, count(*) FROM clean

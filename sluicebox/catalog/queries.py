@@ -27,6 +27,7 @@ from sluicebox.operators.decay import decayed_averages
 from sluicebox.operators.feed import clean_feed, publish_frame, unroutable
 from sluicebox.operators.routing import clean_rows, rejected_rows, route_counts
 from sluicebox.operators.silver import add_quality, flatten, parse_events, parse_once, to_silver
+from sluicebox.plans.compact import compact, drop_replaced, folder_sizes
 from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.plans.report import build_report
 from sluicebox.schemas import BRONZE_SCHEMA, EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
@@ -333,6 +334,38 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(sides[0].unionAll(sides[1]))
 
 
+@query("layers_compacted")
+def layers_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both layers of the incremental job before and after compaction, without the replaced folders, and after the job went on."""
+    base = shared_folder(spark, "compacted")
+    bronze, silver, garbage = f"{base}/bronze", f"{base}/silver", f"{base}/garbage"
+    source = read_bronze(spark, stored_layers(spark, sf_dir).bronze)
+    layers = ((silver, "parquet", read_silver), (garbage, "json", read_garbage))
+
+    def refine(files: int) -> None:
+        source.repartition(files, "offset").write.mode("append").parquet(bronze)
+        start_silver(stream_bronze(spark, bronze, 1), silver, garbage, f"{base}/checkpoint", as_of=AS_OF).awaitTermination()
+
+    def look(stage: str) -> None:
+        for path, _, read in layers:
+            rows = read(spark, path).select(F.lit(path.rsplit("/", 1)[1]).alias("layer"), F.lit(stage).alias("stage"), *SILVER_COLUMNS)
+            rows.write.mode("append").parquet(f"{base}/seen")
+
+    refine(6)
+    look("before")
+    for path, fmt, _ in layers:
+        whole = folder_sizes(spark, path).agg(F.sum("bytes")).first()[0]
+        if not compact(spark, path, f"{base}/checkpoint", fmt, whole // 3):
+            raise AssertionError(f"nothing was due in {path}")
+    look("compacted")
+    for path, _, _ in layers:
+        drop_replaced(spark, path)
+    look("dropped")
+    refine(1)
+    look("continued")
+    return _comparable(spark.read.parquet(f"{base}/seen"))
+
+
 @query("fan_out_status")
 def fan_out_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each sink of a batch run, whether it succeeded, and its rows; the broker of the optional feed is away."""

@@ -56,6 +56,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything under this name, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def move_folder(spark: SparkSession, path: str, to: str) -> None:
     """Rename a folder on its file system."""
     source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluicebox.schemas import BRONZE_SCHEMA, FAITHFUL_CSV, SILVER_COLUMNS, SILVER_SCHEMA, TEXT_TIMES
+from sluicebox.sources.batches import read_batches
 
 
 class LayerNotReady(RuntimeError):
@@ -33,14 +34,27 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver rows in layer order.
 
     With the schema given, partition values such as an all-numeric bank id stay text, whatever the
-    session's inference setting is.
+    session's inference setting is. Of batch folders that were compacted, each row counts once.
     """
-    return spark.read.schema(SILVER_SCHEMA).parquet(path).select(*SILVER_COLUMNS)
+
+    def read(more: str) -> DataFrame:
+        return spark.read.schema(_with_folders(more)).parquet(path)
+
+    return read_batches(spark, path, read).select(*SILVER_COLUMNS)
+
+
+def _with_folders(more: str) -> StructType:
+    return StructType(SILVER_SCHEMA.fields + (StructType.fromDDL(more).fields if more else []))
 
 
 def read_garbage(spark: SparkSession, path: str) -> DataFrame:
     """Rejected rows. JSON leaves null fields out, so the schema is given rather than inferred."""
-    return spark.read.schema(SILVER_SCHEMA).options(**TEXT_TIMES).json(path).select(*SILVER_COLUMNS)
+
+
+    def read(more: str) -> DataFrame:
+        return spark.read.schema(_with_folders(more)).options(**TEXT_TIMES).json(path)
+
+    return read_batches(spark, path, read).select(*SILVER_COLUMNS)
 
 
 def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
