@@ -273,6 +273,9 @@ ORACLE: dict[str, str] = {
         SELECT max({_AS_OF}) AS last_processed, strftime(max({_AS_OF}), '%H:%M:%S') AS last_pulse FROM clean"""),
     "distinct_banks": _scored("SELECT DISTINCT bank_id FROM clean"),
     "bank_filter": _scored(f"SELECT {_SILVER} FROM clean WHERE {_CHOSEN}"),
+    "card_lookup": _scored(f"""
+        SELECT {_SILVER} FROM clean WHERE masked_card IN (SELECT sha256('****' || n) FROM (VALUES ('1003'), ('1008'), ('1013'), ('99999')) AS asked(n))"""),
+    "transaction_lookup": _scored(f"SELECT {_SILVER} FROM clean WHERE transaction_id IN ('E2', 'E40', 'E94', 'E412', 'E3', 'EX')"),
     "masking_sample": _scored(f"""
         SELECT transaction_id, bank_id, amount, masked_card, quality_score FROM clean WHERE {_CHOSEN}
         ORDER BY transaction_id LIMIT 10"""),

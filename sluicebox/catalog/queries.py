@@ -18,13 +18,14 @@ from sluicebox.catalog.fixtures import (
     read_events,
     structured_events,
 )
-from sluicebox.catalog.stored import TREE_SUFFIX, flat_tree, stored_layers
+from sluicebox.catalog.stored import TREE_SUFFIX, clustered_silver, flat_tree, stored_layers
 from sluicebox.functions.quality import VALIDITY
 from sluicebox.operators import flat, gold, metrics, sketches
 from sluicebox.operators import runs as run_operators
 from sluicebox.operators.bronze import matching_topics, to_bronze
 from sluicebox.operators.decay import decayed_averages
 from sluicebox.operators.feed import clean_feed, publish_frame, unroutable
+from sluicebox.operators.lookup import of_cards, of_transactions
 from sluicebox.operators.routing import clean_rows, rejected_rows, route_counts
 from sluicebox.operators.silver import add_quality, flatten, parse_events, parse_once, to_silver
 from sluicebox.plans.compact import compact, drop_replaced, folder_sizes
@@ -433,6 +434,18 @@ def bank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(metrics.of_banks(_stored_silver(spark, sf_dir), CHOSEN_BANKS))
 
 
+@query("card_lookup")
+def card_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a few cards, one of them unknown, from silver that is clustered by card."""
+    return _comparable(of_cards(clustered_silver(spark, sf_dir), ["****1003", "****1008", "****1013", "****99999"]))
+
+
+@query("transaction_lookup")
+def transaction_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single transactions, which only bloom filters find in files clustered by card; one was rejected, one is unknown."""
+    return _comparable(of_transactions(clustered_silver(spark, sf_dir), ["E2", "E40", "E94", "E412", "E3", "EX"]))
+
+
 @query("masking_sample")
 def masking_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.masking_sample(_stored_silver(spark, sf_dir), CHOSEN_BANKS, 10, ["transaction_id"])

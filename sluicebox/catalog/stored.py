@@ -10,6 +10,8 @@ from sluicebox.catalog.fixtures import AS_OF, flat_texts, kafka_records, read_ev
 from sluicebox.operators.bronze import to_bronze
 from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.session import move_folder, shared_folder
+from sluicebox.sinks.clustered import write_clustered_silver
+from sluicebox.sources.layers import read_silver
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,20 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> StoredLayers:
     return _stored[key]
 
 
+_clustered: dict[tuple[str, str], str] = {}
+CLUSTERED_PARTS = 64
+
+
+def clustered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver rows, laid out for look-ups."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _clustered:
+        path = shared_folder(spark, "clustered")
+        write_clustered_silver(read_silver(spark, stored_layers(spark, sf_dir).silver), path, parts=CLUSTERED_PARTS)
+        _clustered[key] = path
+    return read_silver(spark, _clustered[key])
+
+
 TREE_SUFFIX = ".txt"  # what Spark's text writer calls its files
 
 
