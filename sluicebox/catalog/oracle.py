@@ -284,6 +284,10 @@ ORACLE: dict[str, str] = {
     "flat_scan": _flat(
         "SELECT bank_dir, channel_dir, transaction_id, event_type AS note, issues FROM checked", _CUSTOMER_EVENTS
     ),
+    "flat_stream": _flat("""
+        SELECT bank_dir, channel_dir, transaction_id,
+          array_to_string(list_sort(string_split(issues, ',')), ',') AS issues
+        FROM checked""", _CUSTOMER_EVENTS),
     "flat_issues": _flat("SELECT event_id, issues FROM checked"),
     "flat_canonical": _flat('SELECT event_id, transaction_id, amount, "timestamp", bank_id, channel FROM checked'),
     "flat_counts": _flat("""

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 from sluicebox.catalog.fixtures import (
     AS_OF,
     EVENTS_SCHEMA,
-    customers_as_events,
     flat_texts,
     kafka_records,
     kafka_with_other_topics,
     read_events,
     structured_events,
 )
-from sluicebox.catalog.stored import TREE_SUFFIX, clustered_silver, flat_tree, stored_layers
+from sluicebox.catalog.stored import TREE_SUFFIX, clustered_silver, stored_layers, stored_tree
 from sluicebox.functions.quality import VALIDITY
 from sluicebox.operators import flat, gold, metrics, sketches
 from sluicebox.operators import runs as run_operators
@@ -32,7 +31,7 @@ from sluicebox.plans.compact import compact, drop_replaced, folder_sizes
 from sluicebox.plans.refine import Targets, run_refine
 from sluicebox.plans.report import build_report
 from sluicebox.schemas import BRONZE_SCHEMA, EVENT_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
-from sluicebox.session import make_folder, shared_folder
+from sluicebox.session import shared_folder
 from sluicebox.sinks.files import (
     export_banks_csv,
     write_csv,
@@ -53,6 +52,7 @@ from sluicebox.sources.layers import (
     read_required,
     read_silver,
 )
+from sluicebox.streaming.flat import start_flat
 from sluicebox.streaming.ingest import ALL_AVAILABLE, run_ingest, start_bronze
 from sluicebox.streaming.kpi import dated, start_kpi, start_undated
 from sluicebox.streaming.refine import start_silver, stream_bronze
@@ -476,8 +476,10 @@ def _event_id() -> Column:
 @query("flat_scan")
 def flat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file of a tree with one event per file: its folders, its transaction and its issues."""
-    tree = flat_tree(spark, customers_as_events(spark, sf_dir))
-    checked = flat.add_issues(flat.parse_flat(scan_flat_files(spark, tree, TREE_SUFFIX)))
+    return _shown_files(flat.add_issues(flat.parse_flat(scan_flat_files(spark, stored_tree(spark, sf_dir), TREE_SUFFIX))))
+
+
+def _shown_files(checked: DataFrame) -> DataFrame:
     return checked.select(
         "bank_dir", "channel_dir", F.try_variant_get("event.transaction_id", "$", "string").alias("transaction_id"),
         F.get_json_object("event_text", "$.note").alias("note"), F.array_join("issues", ",").alias("issues"),
@@ -498,11 +500,29 @@ def flat_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("flat_counts")
 def flat_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a real tree per folder, among them a folder without any."""
-    tree = flat_tree(spark, customers_as_events(spark, sf_dir))
-    make_folder(spark, f"{tree}/bank_d/atm")
+    tree = stored_tree(spark, sf_dir)
     return flat.counts_per_folder(scan_flat_files(spark, tree, TREE_SUFFIX), flat_folders(spark, tree))
 
 
+@query("flat_stream")
+def flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree as a stream over several batches, run twice with one checkpoint: each file once, in silver or with its issues."""
+    tree, base = stored_tree(spark, sf_dir), shared_folder(spark, "flat-stream")
+    size = max(1, spark.read.parquet(f"{sf_dir}/customer.parquet").count() // 3)
+    for _ in range(2):
+        start_flat(
+            spark, tree, f"{base}/silver", f"{base}/garbage", f"{base}/checkpoint", suffix=TREE_SUFFIX, files_per_trigger=size
+        ).awaitTermination()
+    silver, garbage = read_flat_silver(spark, f"{base}/silver"), read_flat_garbage(spark, f"{base}/garbage")
+    names = ["bank_dir", "channel_dir", "file_name"]
+    kept = silver.select(*names, "transaction_id", F.lit("").alias("issues"))
+    issues = garbage.groupBy(*names).agg(
+        F.try_variant_get(F.try_parse_json(F.max("event_text")), "$.transaction_id", "string").alias("transaction_id"),
+        F.array_join(F.sort_array(F.collect_list("issue")), ",").alias("issues"),
+    )
+    return kept.unionAll(issues).drop("file_name")
+
+
 @query("flat_silver")
 def flat_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events written per folder and read back."""

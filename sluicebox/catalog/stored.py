@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.catalog.fixtures import AS_OF, flat_texts, kafka_records, read_events
+from sluicebox.catalog.fixtures import AS_OF, customers_as_events, flat_texts, kafka_records, read_events
 from sluicebox.operators.bronze import to_bronze
 from sluicebox.plans.refine import Targets, run_refine
-from sluicebox.session import move_folder, shared_folder
+from sluicebox.session import make_folder, move_folder, shared_folder
 from sluicebox.sinks.clustered import write_clustered_silver
 from sluicebox.sources.layers import read_silver
 
@@ -54,6 +54,19 @@ def clustered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 TREE_SUFFIX = ".txt"  # what Spark's text writer calls its files
 
 
+_trees: dict[tuple[str, str], str] = {}
+
+
+def stored_tree(spark: SparkSession, sf_dir: str) -> str:
+    """The tree that scans read, written once: one file per row of ``customer`` and a folder without any file."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _trees:
+        tree = flat_tree(spark, customers_as_events(spark, sf_dir))
+        make_folder(spark, f"{tree}/bank_d/atm")
+        _trees[key] = tree
+    return _trees[key]
+
+
 def flat_tree(spark: SparkSession, events: DataFrame) -> str:
     """The flat events as a tree with one original text per file in plainly named folders, as collectors leave it.
 

@@ -7,7 +7,8 @@ import pytest
 
 from sluicebox.operators.flat import accepted, add_issues, counts_per_folder, one_row_per_issue, parse_flat, typed
 from sluicebox.plans.flat import run_flat
-from sluicebox.sources.flat_files import UnreadableFiles, flat_folders, scan_flat_files
+from sluicebox.sources.flat_files import UnreadableFiles, empty_flat_files, flat_folders, scan_flat_files
+from sluicebox.streaming.flat import start_flat
 from sluicebox.sources.layers import read_flat_garbage, read_flat_silver
 
 BASE = {"transaction_id": "t", "amount": 1, "timestamp": "2026-01-01T00:00:00", "bank_id": "B", "channel": "ATM"}
@@ -162,3 +163,35 @@ def test_canonical_keeps_json_types_and_drops_other_fields(spark):
     assert json.loads(kept.toJSON().first()) == BASE | {"amount": True}
     assert typed(kept).first().amount == 1.0
     assert one_row_per_issue(checked).count() == 0
+
+
+def test_empty_files_are_rows_without_text(spark, tree):
+    (tree / "bank_c" / "pos" / "none.json").touch()
+    (tree / "bank a+b" / "atm" / "a b%.json").touch()
+    empty = {(r.bank_dir, r.file_name) for r in empty_flat_files(spark, str(tree)).collect()}
+    assert {("bank_c", "none.json"), ("bank a+b", "a b%.json")} <= empty
+    texts = {(r.bank_dir, r.file_name): r.event_text for r in scan_flat_files(spark, str(tree)).collect()}
+    assert texts["bank_c", "none.json"] == texts["bank a+b", "a b%.json"] == ""
+    assert {key for key, text in texts.items() if text == ""} == empty
+
+
+def test_stream_reads_each_file_once_and_archives_it(spark, tree, tmp_path):
+    silver, garbage, archive = (str(tmp_path / n) for n in ("silver", "garbage", "archive"))
+    (tree / "bank_c" / "pos" / "none.json").touch()
+    rows = {(r.bank_dir, r.file_name) for r in scan_flat_files(spark, str(tree)).filter("event_text <> ''").collect()}
+
+    def run():
+        start_flat(spark, str(tree), silver, garbage, str(tmp_path / "checkpoint"), archive, files_per_trigger=5).awaitTermination()
+        side = read_flat_silver(spark, silver).select("bank_dir", "file_name").collect()
+        other = read_flat_garbage(spark, garbage).select("bank_dir", "file_name").distinct().collect()
+        return [tuple(r) for r in side + other]
+
+    first = run()
+    assert sorted(first) == sorted(rows)
+    assert sorted(run()) == sorted(rows)  # nothing new, nothing twice
+    (tree / "bank_c" / "pos" / "late.json").write_text(json.dumps(BASE | {"transaction_id": "late"}))
+    assert sorted(run()) == sorted([*rows, ("bank_c", "late.json")])
+    moved = {p.name for p in Path(archive).rglob("*.json")}
+    assert moved >= {name for _, name in rows} - {p.name for p in tree.rglob("*.json")} and len(moved) > 5
+    runs = list(Path(silver).glob("run=*"))
+    assert len(runs) == len({p.name for p in runs}) >= 2
