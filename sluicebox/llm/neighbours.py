@@ -1,16 +1,19 @@
 """Approximate nearest neighbours: NN-descent builds a neighbour graph, queries walk it greedily from node to node.
 
-Equal vectors are one node. Vectors get one more component that makes all norms equal, so that the largest inner product
-is the nearest point; for building and walking they are rounded to signed bytes, and final scores are computed from the
-original vectors in double precision.
+Equal vectors are one node. Nodes are divided into ranges of norms in which the longest is at most twice as long as the shortest; each
+range has a scale, a graph and a walk of its own, so that long vectors neither flatten short ones nor lead walks away from them. Within a
+range vectors get one more component that makes all norms equal, so that the largest inner product is the nearest point; for building and
+walking they are rounded to signed bytes with a scale per vector. Final scores are computed from the original vectors in double precision.
 
 Building. Nodes start with neighbours from blocks of a few random hyperplane trees. Then, in each round, every node's
 neighbours and reverse neighbours meet at the node (a join on edges, then on vectors) and are compared with each other;
 each keeps its best ``NEIGHBOURS``. Nodes with many reverse neighbours are dealt in parts of ``PART``; none is left out.
 Rounds end when at most ``SETTLED`` of all list entries are new; lists only get better, so that they do end.
 
-Searching. Each query keeps a beam of its best ``BEAM`` nodes, starts at its own place in the graph, and in every hop joins the
-``VISITS`` best nodes it has not visited with their adjacency, until no beam holds a node that was not visited.
+Searching. Each query has a beam of its best ``BEAM`` nodes per range, starts at its own place in the graph and at the best ``STARTS`` of the
+range's pivots, and in every hop joins the ``VISITS`` best nodes it has not visited with their adjacency, until no beam holds a node that was
+not visited. A range is left out for a query only if no vector as short as that can reach what the best pivots have. Pivots are a hashed
+sample of at most ``PIVOTS`` nodes of all ranges together; they are where walks begin, no bound on what these find.
 
 Index and search cover every row. Defined results: vectors that are null, empty, zero, of another length than most (ties: the
 shorter), or that hold null or non-finite components take no part; equal scores rank by vec_id; repeated rows count as
@@ -25,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sluicebox.llm.common import written
 
@@ -32,6 +36,8 @@ NEAREST, QUERY_STEP = 20, 20
 NEIGHBOURS, TREES, BLOCK, PART = 24, 4, 400, 64
 SETTLED = 0.001  # share of new list entries in a round that is the last
 BEAM, VISITS = 512, 128
+PIVOTS, STARTS = 4096, 16
+RANGE_EDGE = 0.7  # ranges begin at this times a power of two, away from the norms 1, 2, ... that tables are scaled to
 HELD_ENTRIES = 2_000_000
 
 Batches = Iterator[pd.DataFrame]
@@ -47,6 +53,28 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return kept.withColumn("key", F.md5(F.to_json("vec").cast("binary")))
 
 
+def with_norms(nodes: DataFrame) -> DataFrame:
+    """Adds ``length`` (binary logarithm of the norm) and ``span``, the number of its range; neither overflows for any finite vector."""
+    largest = F.array_max(F.transform("vec", F.abs))
+    sized = nodes.withColumn("largest", largest)
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / F.col("largest")) * (x / F.col("largest")))
+    lengths = sized.withColumn("length", F.log2(F.col("largest")) + F.log2(squares) / 2)
+    return lengths.withColumn("span", F.floor(F.col("length") - F.log2(F.lit(RANGE_EDGE))).cast("int")).drop("largest")
+
+
+def packed_bytes(vectors: np.ndarray) -> list[bytes]:
+    """Of each vector its scale (four bytes) and its components as signed bytes."""
+    scale = np.maximum(np.abs(vectors).max(axis=1), 1e-30).astype(np.float32) / np.float32(127)
+    small = np.clip(np.rint(vectors / scale[:, None]), -127, 127).astype(np.int8)
+    both = np.concatenate([scale[:, None].view(np.uint8), small.view(np.uint8)], axis=1)
+    return [row.tobytes() for row in both]
+
+
+def unpacked(codes: bytes, count: int) -> np.ndarray:
+    rows = np.frombuffer(codes, np.uint8).reshape(count, -1)
+    return rows[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(rows[:, :4]).view(np.float32)
+
+
 def _least_ids(ids: np.ndarray, keys: np.ndarray) -> pd.DataFrame:
     order = np.lexsort((ids, keys))
     ids, keys = ids[order], keys[order]
@@ -166,7 +194,7 @@ def _met(batches: Batches, key: str) -> Batches:
     pairs = Pairs()
     for batch in whole_groups(batches, key):
         ids, groups = batch["member"].to_numpy(np.int64), batch[key].to_numpy()
-        codes = np.frombuffer(b"".join(batch["code"]), np.int8).reshape(len(batch), -1).astype(np.float32)
+        codes = unpacked(b"".join(batch["code"]), len(batch))
         least = batch["least"].to_numpy(np.float32)
         cut = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
         for a, b in zip(cut, [*cut[1:], len(ids)], strict=True):
@@ -181,17 +209,23 @@ def merged(lists: DataFrame, most: int = NEIGHBOURS) -> DataFrame:
     return by_group(lists, "node", lambda rows: _packed(*_best(*_flat(rows), most)), LISTS)
 
 
-def first_lists(nodes: DataFrame, count: int, width: int) -> DataFrame:
-    """Neighbours from blocks of random hyperplane trees; blocks that come out large are dealt by hash."""
-    depth = max(0, int(np.ceil(np.log2(max(1, count / (BLOCK / 2))))))
-    planes = [np.random.default_rng(tree).normal(size=(width, depth)).astype(np.float32) for tree in range(TREES)]
+def first_lists(nodes: DataFrame, counts: dict[int, int], width: int) -> DataFrame:
+    """Neighbours from blocks of random hyperplane trees, as deep as a range has nodes; blocks that come out large are dealt by hash."""
+    depths = {span: max(0, int(np.ceil(np.log2(max(1, count / (BLOCK / 2)))))) for span, count in counts.items()}
+    deepest, place_of = max(depths.values(), default=0), {span: n for n, span in enumerate(sorted(counts))}
+    planes = [np.random.default_rng(tree).normal(size=(width, deepest)).astype(np.float32) for tree in range(TREES)]
 
     def place(batches: Batches) -> Batches:
         for batch in batches:
-            codes = np.frombuffer(b"".join(batch["code"]), np.int8).reshape(len(batch), width).astype(np.float32)
+            if not len(batch):
+                continue
+            codes = unpacked(b"".join(batch["code"]), len(batch))
+            used = (1 << batch["span"].map(depths).to_numpy(np.int64)) - 1
+            rank = batch["span"].map(place_of).to_numpy(np.int64)
             for tree in range(TREES):
-                sides = (codes @ planes[tree] > 0) @ (1 << np.arange(depth, dtype=np.int64))
-                yield pd.DataFrame({"block": sides.astype(np.int64) * TREES + tree, "member": batch["node"], "code": batch["code"]})
+                sides = ((codes @ planes[tree] > 0) @ (1 << np.arange(deepest, dtype=np.int64))).astype(np.int64) & used
+                block = (sides * TREES + tree) * len(place_of) + rank
+                yield pd.DataFrame({"block": block, "member": batch["node"], "code": batch["code"]})
 
     placed = nodes.mapInPandas(place, "block long, member long, code binary")
     sizes = placed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
@@ -253,11 +287,12 @@ def improve(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return by_group(both, "node", _renewed, f"{LISTS}, entered long")
 
 
-def build_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
-    """The neighbour lists when NN-descent has settled."""
-    lists = written(first_lists(nodes, count, width), "graph")
+def build_graph(nodes: DataFrame, counts: dict[int, int], width: int) -> DataFrame:
+    """The neighbour lists when NN-descent has settled. Neighbours of neighbours stay in their range, as the first lists do."""
+    lists = written(first_lists(nodes, counts, width), "graph")
+    known = nodes.select("node", "code")
     while True:
-        better = written(improve(lists, nodes), "graph")
+        better = written(improve(lists, known), "graph")
         lists = better.select("node", "others", "scores")
         counts = better.select(F.sum("entered").alias("new"), F.sum(F.octet_length("others") / 8).alias("all")).first()
         if (counts["new"] or 0) <= SETTLED * (counts["all"] or 0):
@@ -298,25 +333,81 @@ def _advance(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["node", "code", "others", "scores", "visited", "next", "least"])
 
 
-def walk(queries: DataFrame, adjacency: DataFrame) -> DataFrame:
-    """The beam of each query (node, code) after greedy search, which starts at the query's own node."""
+class Pivots:
+    """Sampled nodes of every range, held by all tasks: where walks begin, and what a range has to reach."""
+
+    def __init__(self, nodes: DataFrame, counts: dict[int, int], longest: dict[int, float]) -> None:
+        each = max(1, PIVOTS // max(1, len(longest)))
+        shares = [(span, min(1.0, 4.0 * each / count)) for span, count in counts.items()]
+        sampled = nodes.join(F.broadcast(nodes.sparkSession.createDataFrame(shares, "span int, share double")), "span")
+        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / float(1 << 30)
+        order = Window.partitionBy("span").orderBy(F.xxhash64("node"), "node")  # over some four times ``each`` rows of a range
+        few = sampled.where(chance < F.col("share")).withColumn("at", F.row_number().over(order)).where(F.col("at") <= each)
+        rows = few.select("node", "span", "code", "vec", "length").collect()
+        self.longest = longest
+        self.ids, self.spans = (np.array([r[c] for r in rows], np.int64) for c in ("node", "span"))
+        self.codes = unpacked(b"".join(r["code"] for r in rows), len(rows))
+        self.lengths = np.array([r["length"] for r in rows])
+        self.units = np.array([r["vec"] for r in rows]) if rows else np.zeros((0, 0))
+        largest = np.abs(self.units).max(axis=1, keepdims=True)
+        self.units = self.units / largest
+        self.units = self.units / np.sqrt((self.units**2).sum(1, keepdims=True))
+        self.top = max(longest.values(), default=0.0)
+
+    def spans_for(self, unit: np.ndarray) -> list[int]:
+        """Ranges that may hold one of the nearest: the others' longest vector stays below what enough pivots reach."""
+        scores = np.sort(self.units @ unit * np.exp2(self.lengths - self.top))[::-1]
+        bar = scores[NEAREST] if len(scores) > NEAREST else -np.inf  # one more, as the query may be a pivot itself
+        return [span for span, length in self.longest.items() if np.exp2(length - self.top) >= bar - 1e-9]
+
+    def starts(self, span: int, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = np.flatnonzero(self.spans == span)
+        scores = self.codes[own] @ asked
+        best = np.argsort(-scores, kind="stable")[:STARTS]
+        return self.ids[own[best]], scores[best].astype(np.float32)
+
+
+WALKERS = "query long, span int, code binary, others binary, scores binary"
+
+
+def walkers_of(queries: DataFrame, pivots: Pivots) -> DataFrame:
+    """A walker per query (node, vec, span, code, asked) and range that it has to look into, with its first nodes and their scores."""
+    def begin(batches: Batches) -> Batches:
+        for batch in batches:
+            out = []
+            for node, vec, own, code, asked in zip(*(batch[c] for c in ("node", "vec", "span", "code", "asked")), strict=True):
+                unit = np.asarray(vec, float)
+                unit = unit / np.abs(unit).max()
+                unit = unit / np.sqrt((unit**2).sum())
+                question = unpacked(asked, 1)[0]
+                for span in pivots.spans_for(unit):
+                    ids, scores = pivots.starts(span, question)
+                    if span == own and node not in ids:
+                        ids, scores = np.append(ids, node), np.append(scores, unpacked(code, 1)[0] @ question)
+                    out.append((node, span, asked, ids.astype(np.int64).tobytes(), scores.astype(np.float32).tobytes()))
+            yield pd.DataFrame(out, columns=["query", "span", "code", "others", "scores"])
+
+    return queries.mapInPandas(begin, WALKERS).withColumn("node", F.monotonically_increasing_id())
+
+
+def walk(walkers: DataFrame, adjacency: DataFrame) -> DataFrame:
+    """The beam of each walker (node, code, others, scores) after greedy search from its first nodes."""
     def begin(batches: Batches) -> Batches:
         for batch in batches:
-            own = [np.array([n], np.int64) for n in batch["node"]]
-            packed = [x.tobytes() for x in own]
-            yield batch.assign(others=packed, scores=np.zeros(1, np.float32).tobytes(), visited=packed, next=own, least=float("-inf"))
+            first = [np.frombuffer(x, np.int64) for x in batch["others"]]
+            yield batch.assign(visited=batch["others"], next=first, least=float("-inf"))
 
     def expand(batches: Batches) -> Batches:
         for batch in batches:
             found = []
             for ids, codes, query, bar in zip(batch["ids"], batch["codes"], batch["code"], batch["least"], strict=True):
                 ids = np.frombuffer(ids, np.int64)
-                score = np.frombuffer(codes, np.int8).reshape(len(ids), -1).astype(np.float32) @ np.frombuffer(query, np.int8).astype(np.float32)
+                score = unpacked(codes, len(ids)) @ unpacked(query, 1)[0]
                 good = score > bar
                 found.append((ids[good].tobytes(), score[good].tobytes()))
             yield pd.DataFrame({"node": batch["query"], "others": [x for x, _ in found], "scores": [s for _, s in found]})
 
-    state = queries.select("node", "code").mapInPandas(begin, STATE)
+    state = walkers.select("node", "code", "others", "scores").mapInPandas(begin, STATE)
     while True:
         state = written(state, "beam")
         if not state.where(F.size("next") > 0).count():
@@ -332,37 +423,37 @@ def nearest(vectors: DataFrame) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found for each row whose id is divisible by ``QUERY_STEP``."""
     rows = valid_vectors(vectors)
     keys = written(members_of(rows), "nodes")
-    measures = rows.select(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"), F.first(F.size("vec")).alias("n")).first()
     empty = "query_id long, rank int, vec_id long, score double"
-    if measures["n"] is None:
+    one = rows.join(keys.select("key", F.col("node").alias("vec_id")), ["key", "vec_id"], "left_semi").dropDuplicates(["vec_id", "key"])
+    placed = written(with_norms(one.select(F.col("vec_id").alias("node"), "vec")), "ranges")
+    ranges = placed.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("longest"), F.first(F.size("vec")).alias("width")).collect()
+    if not ranges:  # at most one row per power of two
         return vectors.sparkSession.createDataFrame([], empty)
-    top, width = float(measures["norm"]), measures["n"] + 1
+    counts, longest, width = {r["span"]: r["n"] for r in ranges}, {r["span"]: r["longest"] for r in ranges}, ranges[0]["width"] + 1
 
     def code(batches: Batches) -> Batches:
         for batch in batches:
             if not len(batch):
                 continue
             x = np.array(batch["vec"].tolist(), float).reshape(len(batch), width - 1)
-            x = x / np.sqrt(top)
-            last = np.sqrt(np.maximum(0.0, 1 - (x * x).sum(1)))
-            spread = min(1.0, 6.0 / np.sqrt(width - 1))  # larger components are clipped for the walk, never for scores
-            byte = np.clip(np.rint(np.column_stack([x, last]) / spread * 127), -127, 127).astype(np.int8)
-            asked = byte.copy()
-            asked[:, -1] = 0
-            yield pd.DataFrame({"node": batch["node"], "vec": batch["vec"], "code": [r.tobytes() for r in byte], "asked": [r.tobytes() for r in asked]})
-
-    one = rows.join(keys.select("key", F.col("node").alias("vec_id")), ["key", "vec_id"], "left_semi").dropDuplicates(["vec_id", "key"])
-    nodes = written(
-        one.select(F.col("vec_id").alias("node"), "vec").mapInPandas(code, "node long, vec array<double>, code binary, asked binary"), "codes"
-    )
+            unit = x / np.abs(x).max(axis=1, keepdims=True)
+            unit = unit / np.sqrt((unit * unit).sum(1, keepdims=True))
+            share = np.exp2(batch["length"].to_numpy() - batch["span"].map(longest).to_numpy())  # of the range's longest norm
+            last = np.sqrt(np.maximum(0.0, 1 - share * share))
+            inside = packed_bytes(np.column_stack([unit * share[:, None], last]))
+            asked = packed_bytes(np.column_stack([unit, np.zeros(len(unit))]))
+            yield batch.assign(code=inside, asked=asked)
+
+    nodes = written(placed.mapInPandas(code, "node long, vec array<double>, length double, span int, code binary, asked binary"), "codes")
     asking = rows.where(F.pmod("vec_id", F.lit(QUERY_STEP)) == 0).join(keys.select("key", "node"), "key").select(F.col("vec_id").alias("query_id"), "node")
     asked = written(asking, "asking")
-    graph = build_graph(nodes.select("node", "code"), nodes.count(), width)
+    graph = build_graph(nodes.select("node", "code", "span"), counts, width)
     adjacency = written(adjacency_of(graph, nodes.select("node", "code")), "adjacency")
-    queries = asked.select("node").distinct().join(nodes.select("node", F.col("asked").alias("code")), "node")
-    beams = walk(queries, adjacency)
+    queries = nodes.join(asked.select("node").distinct(), "node").select("node", "vec", "span", "code", "asked")
+    walkers = written(walkers_of(queries, Pivots(nodes, counts, longest)), "walkers")
+    beams = walk(walkers, adjacency).select("node", "others", "scores").join(walkers.select("node", "query"), "node")
 
-    pairs = edges_of(beams.select("node", "others", "scores"))
+    pairs = edges_of(beams.select(F.col("query").alias("node"), "others", "scores"))
     left, right = nodes.select("node", F.col("vec").alias("x")), nodes.select(F.col("node").alias("other"), F.col("vec").alias("y"))
     scored = pairs.join(right, "other").join(left, "node").mapInPandas(_exact, "node long, other long, score double")
     listed = scored.join(keys.select(F.col("node").alias("other"), "members"), "other").select("node", "score", F.explode("members").alias("vec_id"))

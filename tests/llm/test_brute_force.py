@@ -151,6 +151,31 @@ def test_neighbours_recall(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["log-normal", "one long", "tiny and huge"])
+def test_neighbours_recall_with_uneven_norms(spark, norms):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "log-normal":
+        x *= rng.lognormal(size=(len(x), 1))
+    elif norms == "one long":
+        x[17] *= 1000
+    else:
+        x *= np.where(np.arange(len(x)) % 3 == 0, 1e-200, 1e100)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in neighbours.nearest(frame).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    recall = []
+    for i in range(0, len(x), 20):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        assert len(found[i]) == 20
+        recall.append(len(set(np.lexsort((np.arange(len(x)), -scores))[:20].tolist()) & set(found[i])) / 20)
+    print(norms, np.mean(recall), min(recall))
+    assert np.mean(recall) >= 0.9
+
+
 def test_pieces_without_dropout_are_the_model_s(texts):
     from sentencepiece import SentencePieceProcessor
 
@@ -316,21 +341,23 @@ def test_anchors_of_a_text_beyond_the_bits_of_a_place():
 
 def test_graph_is_settled(spark):
     codes = np.random.default_rng(2).integers(-40, 41, (6_000, 48)).astype(np.int8)
-    nodes = spark.createDataFrame([(i, c.tobytes()) for i, c in enumerate(codes)], "node long, code binary")
+    packed = neighbours.packed_bytes(codes.astype(float))
+    nodes = spark.createDataFrame([(i, c, 0) for i, c in enumerate(packed)], "node long, code binary, span int")
     scores = codes.astype(np.float32) @ codes.T.astype(np.float32)
     np.fill_diagonal(scores, -np.inf)
     least = -np.sort(-scores, axis=1)[:, neighbours.NEIGHBOURS - 1]
-    lists = neighbours.build_graph(nodes, len(codes), 48).collect()
+    lists = neighbours.build_graph(nodes, {0: len(codes)}, 48).collect()
     hits = [(scores[r.node, np.frombuffer(r.others, np.int64)] >= least[r.node]).sum() / neighbours.NEIGHBOURS for r in lists]
     assert len(hits) == len(codes) and np.mean(hits) > 0.9
 
 
 def test_walk_goes_on_while_there_are_better_nodes(spark):
-    codes = [np.int8(i).tobytes() for i in range(21)]
+    codes = [neighbours.packed_bytes(np.array([[float(i)]]))[0] for i in range(21)]
     chain = [(i, np.array([i + 1], np.int64).tobytes(), codes[i + 1]) for i in range(20)]
     adjacency = spark.createDataFrame(chain, "node long, ids binary, codes binary")
-    queries = spark.createDataFrame([(0, np.int8(1).tobytes())], "node long, code binary")
-    found = neighbours.walk(queries, adjacency).collect()
+    first = np.array([0], np.int64).tobytes(), np.zeros(1, np.float32).tobytes()
+    walkers = spark.createDataFrame([(0, codes[1], *first)], "node long, code binary, others binary, scores binary")
+    found = neighbours.walk(walkers, adjacency).collect()
     assert set(np.frombuffer(found[0].others, np.int64)) == set(range(21))
 
 
