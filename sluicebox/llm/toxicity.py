@@ -31,7 +31,7 @@ FOLDS, HELD_OUT = 4, 2
 ROUNDS, DEPTH, RATE, BINS, LEAST_WEIGHT, RIDGE = 60, 4, 0.2, 64, 2.0, 1.0
 NEAR_WORDS, WINDOW_WORDS = 5, 20
 BEGINNINGS = range(4, 8)  # lengths of word beginnings that the lexicon may learn
-LEAST_DOCUMENTS, LEAST_WEIGHT_OF_TERM, LEARNED_TERMS = 4, 2.0, 4_000
+LEAST_DOCUMENTS, LEAST_WEIGHT_OF_TERM = 4, 2.0
 REMEMBERED_WORDS = 200_000  # words whose weight a task keeps at hand
 
 # Insults in common use.
@@ -162,8 +162,7 @@ def learn_lexicon(documents: DataFrame, sample: DataFrame) -> Lexicon:
         return Lexicon({})
     weight = F.ln((F.col("toxic") + 0.5) / (total["toxic"] + 1.0)) - F.ln((F.col("clean") + 0.5) / (total["clean"] + 1.0))
     terms = held.where("term <> ''").select("term", weight.alias("weight")).where(F.col("weight") >= LEAST_WEIGHT_OF_TERM)
-    best = terms.orderBy(F.desc("weight"), "term").limit(LEARNED_TERMS)  # the size of the lexicon, a parameter
-    return Lexicon({r["term"]: r["weight"] for r in best.collect()})
+    return Lexicon({r["term"]: r["weight"] for r in terms.collect()})  # all that pass, out of the bounded sample
 
 
 class Trees:
