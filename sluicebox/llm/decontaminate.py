@@ -3,7 +3,8 @@
 Texts are lower-cased and every run of characters other than letters and digits becomes one blank. An item of n
 characters may occur with k = n * ``ERROR_SHARE`` edits. By the q-gram lemma such an occurrence shares at least
 n - q + 1 - k q of the item's q-grams, all on diagonals that differ by k at most, hence inside one of the overlapping
-bands of 2 k + 2 diagonals that start every k + 1. Bands with fewer shared q-grams are dropped; the others are verified by
+bands of 2 k + 2 diagonals that start every k + 1. Counted are the text positions of a band whose q-gram the item has there:
+each q-gram that an occurrence keeps has a position of its own. Bands with fewer are dropped; the others are verified by
 an alignment within the band's diagonals, which counts edits exactly up to the budget.
 
 The benchmark goes to all tasks in blocks of at most ``BLOCK_BYTES`` text, one pass over the documents per block, so a
@@ -31,6 +32,9 @@ Q = 8
 ERROR_SHARE = 0.1
 BLOCK_BYTES = 4_000_000
 CHUNK_CHARS = 500_000
+STRETCH = 1_000_000  # text positions that are looked up at a time
+HITS = 500_000  # pairs of a position and a q-gram of an item that are counted at a time, or those of one position
+CELLS = 100_000  # item characters that are aligned at a time; each stands for up to 1.4 window characters
 BITS = 22
 FIELD = np.uint64(0x9E3779B97F4A7C15)
 NOT_WORD = re.compile(r"[\W_]+")
@@ -73,42 +77,106 @@ class Block:
         sizes = [len(h) for h in hashed]
         every = np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
-        self.sorted = every[order]
-        self.item = np.repeat(np.arange(len(items)), sizes)[order]
-        self.place = (np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order] if sizes else np.zeros(0, np.int64)
+        every = every[order]
+        item = np.repeat(np.arange(len(items)), sizes)[order]
+        place = (np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order] if sizes else np.zeros(0, np.int64)
+        # A group is a q-gram of an item with all its places, which ascend.
+        new = np.ones(len(every), bool)
+        new[1:] = (every[1:] != every[:-1]) | (item[1:] != item[:-1])
+        first = np.flatnonzero(new)
+        self.longest = max(map(len, self.codes), default=0)
+        self.gram, self.item = every[first], item[first]
+        self.lowest, self.highest = place[first], place[np.append(first[1:], len(every)) - 1] if len(every) else place
+        self.spots = (np.cumsum(new) - 1) * (self.longest + 2) + place + 1
         self.bits = np.zeros(1 << BITS, bool)
         self.bits[(every >> np.uint64(64 - BITS)).astype(np.int64)] = True
 
-    def candidates(self, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document number, item and band start (diagonal in the joined text) where enough q-grams are shared."""
-        hashed = grams(codes)
-        maybe = np.flatnonzero(self.bits[(hashed >> np.uint64(64 - BITS)).astype(np.int64)])
-        lo = np.searchsorted(self.sorted, hashed[maybe], "left")
-        hi = np.searchsorted(self.sorted, hashed[maybe], "right")
-        keep = (hi > lo) & (doc[maybe] == doc[np.minimum(maybe + Q - 1, len(doc) - 1)])
-        maybe, lo, n = maybe[keep], lo[keep], (hi - lo)[keep]
-        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        where = np.repeat(maybe, n)
-        item = self.item[at]
-        # Diagonals can be negative near the first text's start; one shift keeps all bands countable.
-        diagonal = where - self.place[at] + self.longest()
+    def candidates(self, codes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Document number, item and band start (diagonal in the joined text) where enough q-grams are shared.
+
+        Positions are read in stretches of bounded hits. Counted are text positions per band, however many places of the
+        item they meet, so a repeated character costs a bounded number of rows. Only bands that later positions can still
+        reach stay open from one stretch to the next.
+        """
+        span = len(codes) + 2 * self.longest + 2
+        key, docs, count = np.zeros((3, 0), np.int64)
+        for start, where, group in self._hits(codes):
+            shut = start - self.longest  # a band that ends here or earlier meets no item any more
+            done = self._ends(key, span) <= shut
+            yield self._shared_enough(key[done], docs[done], count[done], span)
+            k, d = self._bands(where, group, ends, span)
+            key, docs, count = _tally(np.concatenate([key[~done], k]), np.concatenate([docs[~done], d]), np.concatenate([count[~done], np.ones_like(k)]))
+        yield self._shared_enough(key, docs, count, span)
+
+    def _ends(self, key: np.ndarray, span: int) -> np.ndarray:
+        """The first diagonal behind each band."""
+        return (key % span + 1) * (self.budget[key // span] + 1) - self.longest
+
+    def _shared_enough(self, key: np.ndarray, docs: np.ndarray, count: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        good = count >= self.least[key // span]
+        item, band = key[good] // span, key[good] % span - 1
+        return docs[good], item, band * (self.budget[item] + 1) - self.longest
+
+    def _hits(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Stretches of positions and the groups they meet, with the first position each stretch may hold."""
+        for begin in range(0, len(codes), STRETCH):
+            hashed = grams(codes[begin : begin + STRETCH + Q - 1])
+            maybe = np.flatnonzero(self.bits[(hashed >> np.uint64(64 - BITS)).astype(np.int64)])
+            lo = np.searchsorted(self.gram, hashed[maybe], "left")
+            n = np.searchsorted(self.gram, hashed[maybe], "right") - lo
+            maybe, lo, n = maybe[n > 0] + begin, lo[n > 0], n[n > 0]
+            total = np.cumsum(n)
+            cuts = np.unique(np.searchsorted(total, np.arange(HITS, total[-1] + HITS, HITS), "right")) if len(n) else []
+            left = 0
+            for right in dict.fromkeys([*cuts, len(n)]):
+                if right > left:
+                    at, sizes = lo[left:right], n[left:right]
+                    step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    yield int(maybe[left]), np.repeat(maybe[left:right], sizes), np.repeat(at, sizes) + step
+                    left = right
+
+    def _bands(self, where: np.ndarray, group: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (item and band) and documents of the bands in which a position meets a place of its group, each once."""
+        item = self.item[group]
         step = self.budget[item] + 1
-        band = diagonal // step
-        span = len(codes) + 2 * self.longest() + 2
-        key = np.concatenate([item * span + band, item * span + band - 1])  # the band that starts here, and the one before
-        docs = np.concatenate([doc[where], doc[where]])
-        order = np.lexsort((docs, key))
-        key, docs = key[order], docs[order]
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])])) if len(key) else np.zeros(0, int)
-        count = np.diff(np.append(first, len(key)))
-        key, docs = key[first], docs[first]
-        item, band = key // span, key % span
-        good = count >= self.least[item]
-        item, band, docs = item[good], band[good], docs[good]
-        return docs, item, band * (self.budget[item] + 1) - self.longest()
-
-    def longest(self) -> int:
-        return max(map(len, self.codes), default=0)
+        # Diagonals can be negative near the first text's start; one shift keeps all bands countable.
+        shifted = where + self.longest
+        lo = (shifted - self.highest[group]) // step
+        n = (shifted - self.lowest[group]) // step - lo + 1
+        row = np.repeat(np.arange(len(n)), n)
+        cell = np.repeat(lo, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        # Cell c holds the places from shifted - (c + 1) * step + 1 to shifted - c * step.
+        above = shifted[row] - cell * step[row]
+        base = group[row] * (self.longest + 2) + 1
+        least, most = np.clip(above - step[row], -1, self.longest), np.clip(above, -1, self.longest)
+        met = np.searchsorted(self.spots, base + most, "right") > np.searchsorted(self.spots, base + least, "right")
+        row, cell = row[met], cell[met]
+        # A cell belongs to the band that starts here and to the one before, which the cell before may have given already.
+        again = np.zeros(len(row), bool)
+        again[1:] = (row[1:] == row[:-1]) & (cell[1:] == cell[:-1] + 1)
+        band = np.concatenate([cell + 1, cell[~again]])  # numbered from 1, as the first has one before it
+        row = np.concatenate([row, row[~again]])
+        return item[row] * span + band, np.searchsorted(ends, where[row], "right")
+
+
+def _tally(key: np.ndarray, docs: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts added up by key and document."""
+    if not len(key):
+        return key, docs, count
+    order = np.lexsort((docs, key))
+    key, docs, count = key[order], docs[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])]))
+    return key[first], docs[first], np.add.reduceat(count, first)
+
+
+def _parts(lengths: np.ndarray) -> Iterator[slice]:
+    """Slices of ascending lengths whose alignments take a bounded number of cells (one alignment at least)."""
+    start = 0
+    while start < len(lengths):
+        fits = np.arange(1, len(lengths) - start + 1) * lengths[start:] <= CELLS
+        stop = start + max(1, int(fits.argmin() if not fits.all() else len(fits)))
+        yield slice(start, stop)
+        start = stop
 
 
 def banded_edits(items: list[np.ndarray], texts: list[np.ndarray], starts: np.ndarray, widths: np.ndarray, budgets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,23 +222,33 @@ def _leaks_in(texts: list[str], block: Block) -> Iterator[tuple[int, int, int, i
                 yield i, j, 0, f" {t} ".index(f" {block.texts[j]} ") + len(block.texts[j])
     sizes = np.array([len(t) + 1 for t in normals])
     codes = _codes("\n".join(normals) + "\n")
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    docs, items, diagonals = block.candidates(codes, doc)
-    begins = np.cumsum(sizes) - sizes
-    order = np.argsort([len(block.codes[i]) for i in items], kind="stable")
+    ends_of = np.cumsum(sizes)
+    begins = ends_of - sizes
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for part in np.array_split(order, max(1, len(order) // 256 + 1)):
-        if not len(part):
-            continue
-        d, it = docs[part], items[part]
-        budgets = block.budget[it]
-        # A match on any of the band's diagonals may drift by the budget to either side.
-        starts, widths = diagonals[part] - begins[d] - budgets, 4 * budgets + 2
-        views = [codes[begins[x] : begins[x] + sizes[x] - 1] for x in d]
-        edits, ends = banded_edits([block.codes[i] for i in it], views, starts, widths, budgets)
-        for x, i, e, end in zip(d.tolist(), it.tolist(), edits.tolist(), ends.tolist(), strict=True):
-            if e >= 0 and (e, end) < best.get((x, i), (1 << 30, 0)):
-                best[x, i] = (e, end)
+
+    def improves(x: int, i: int, start: int) -> bool:
+        """Whether an alignment from this diagonal on can still beat the one found: no edits are beaten by an earlier end."""
+        edits, end = best.get((x, i), (1, 0))
+        return edits > 0 or start + len(block.codes[i]) < end
+
+    for docs, items, diagonals in block.candidates(codes, ends_of):
+        lengths = np.array([len(block.codes[i]) for i in items], np.int64)
+        order = np.argsort(lengths, kind="stable")
+        for cut in _parts(lengths[order]):
+            part = order[cut]
+            budgets = block.budget[items[part]]
+            # A match on any of the band's diagonals may drift by the budget to either side.
+            starts = diagonals[part] - begins[docs[part]] - budgets
+            open_ = np.array([improves(*case) for case in zip(docs[part].tolist(), items[part].tolist(), starts.tolist(), strict=True)], bool)
+            part, budgets, starts = part[open_], budgets[open_], starts[open_]
+            if not len(part):
+                continue
+            d, it = docs[part], items[part]
+            views = [codes[begins[x] : begins[x] + sizes[x] - 1] for x in d]
+            edits, ends = banded_edits([block.codes[i] for i in it], views, starts, 4 * budgets + 2, budgets)
+            for x, i, e, end in zip(d.tolist(), it.tolist(), edits.tolist(), ends.tolist(), strict=True):
+                if e >= 0 and (e, end) < best.get((x, i), (1 << 30, 0)):
+                    best[x, i] = (e, end)
     for (x, i), (e, end) in best.items():
         yield x, i, e, end
 

@@ -284,12 +284,51 @@ def test_leaks_are_all_occurrences_within_the_budget():
                 assert got.get(x) == (want if want[0] <= budget else None)
 
 
-def test_leaks_of_all_texts(spark, texts):
-    benchmark = spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").collect()
-    got = {(r.doc_id, r.item_id) for r in LLM_QUERIES["op10_decontamination"](spark, SF_ORACLE).collect()}
-    plain = {i: normal(t) for i, t in texts.items()}
-    exact = {(i, b.item_id) for b in benchmark for i, t in plain.items() if normal(b.text) in t}
-    assert exact and exact <= got
+def least_edits_in_all(item, joined):
+    """Fewest edits of the item against the stretches that end at each position, all positions at once."""
+    places = np.arange(len(joined) + 1, dtype=np.int32)
+    row = np.zeros(len(places), np.int32)
+    for c in item:
+        best = row + 1
+        best[1:] = np.minimum(best[1:], row[:-1] + (joined != c))
+        row = np.minimum.accumulate(best - places) + places
+    return row
+
+
+def test_leaks_of_all_texts(spark):
+    """Every item against every text of the whole table: no leak is missing, none is false, edits and ends are the least."""
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
+    items = [(r.item_id, normal(r.text)) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    gap = "\n" * max(len(t) for _, t in items)  # wider than any budget
+    plain = [normal(r.text or "") for r in rows]
+    joined = np.array([ord(c) for c in "".join(t + gap for t in plain)], np.int32)
+    begins = np.cumsum([0, *(len(t) + len(gap) for t in plain)])
+    want = set()
+    for item, text in items:
+        budget = int(Block([(item, text)]).budget[0])
+        edits = least_edits_in_all([ord(c) for c in text], joined)
+        for x in set((np.searchsorted(begins, np.flatnonzero(edits <= budget), "right") - 1).tolist()):
+            own = edits[begins[x] : begins[x] + len(plain[x]) + 1]
+            if own.min() <= budget:
+                want.add((rows[x].doc_id, item, int(own.min()), int(own.argmin())))
+    got = [tuple(r) for r in LLM_QUERIES["op10_decontamination"](spark, folder).select("doc_id", "item_id", "edits", "end").collect()]
+    assert want and sorted(got) == sorted(want)
+
+
+def test_leaks_of_repeated_characters(monkeypatch):
+    """Hits are counted in stretches and per band, so one character repeated takes bounded memory; the first end is kept."""
+    for item, text, want in (("a" * 300, "a" * 200_000, (0, 300)), ("ab" * 150, "b" + "ab" * 50_000, (0, 301)), ("a" * 299 + "b", "a" * 20_000, (1, 299))):
+        assert list(_leaks_in([text, "", text], Block([(1, item)]))) == [(0, 0, *want), (2, 0, *want)]
+    whole = []
+    for hits, stretch in ((500_000, 1_000_000), (50, 64)):
+        monkeypatch.setattr("sluicebox.llm.decontaminate.HITS", hits)
+        monkeypatch.setattr("sluicebox.llm.decontaminate.STRETCH", stretch)
+        rng = random.Random(7)
+        items = [(i, normal("".join(rng.choices("ab ", k=k)))) for i, k in enumerate((12, 40, 90, 40))]
+        documents = ["".join(rng.choices("ab ", k=200)) + items[i % 4][1] + "".join(rng.choices("ab ", k=200)) for i in range(20)]
+        whole.append(sorted(_leaks_in(documents, Block(items))))
+    assert whole[0] and whole[0] == whole[1]
 
 
 @pytest.mark.parametrize(("name", "label", "least"), [("op2_quality_classifier", "quality", 0.95), ("op9_toxicity", "toxic", 0.93)])
