@@ -2,10 +2,11 @@
 
 A text is cut where no piece of the vocabulary can reach across: before blanks that follow another character, and around
 line breaks. Each unit is segmented by the agenda of a merge-type model: the best scored pair of neighbours, leftmost
-first, is merged until none is left. A popped merge is skipped where a keyed hash of seed, variant, unit and place falls below
-the dropout rate, so a seed always gives the same segmentation, and other seeds give others. Occurrences of a unit, whatever
-its length, take one of ``variants`` variants by a keyed hash of document and place. That keeps segmentations reusable.
-With rate 0 the pieces are those of the model itself.
+first, is merged until none is left. A popped merge is skipped with the dropout rate, by draws from a keyed hash of seed,
+document and place of the unit in its text, so every occurrence of a unit, whatever its length, draws for itself, and a
+seed always gives the same segmentation. The draws are the numbers of pops between two skips, which is the same as one
+draw per pop. What an occurrence gets depends only on the pops it skips; tasks remember segmentations by unit and
+skipped pops, so most occurrences cost a look-up. With rate 0 the pieces are those of the model itself.
 
 Decoding is exact for every text: characters without a piece, line breaks and a literal block mark (U+2581, which the
 model would read as a blank) are spelled in byte pieces.
@@ -19,9 +20,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from hashlib import sha256
+from hashlib import blake2b, sha256
 from zlib import crc32
 
 import numpy as np
@@ -31,13 +33,15 @@ from pyspark.sql import functions as F
 
 from sluicebox.llm.common import whole_text
 
-RATE, SEED, VARIANTS = 0.1, 17, 4
+RATE, SEED = 0.1, 17
 REMEMBERED_UNITS = 300_000  # of each of two generations in a task process
 MARK = "▁"
 UNIT = re.compile(r" *[^ \n]+| +|\n")
 NEVER, SHORT = float("inf"), 48
 ROWS_AT_ONCE = 500
-TURNS = 4093  # length of the keyed cycle of variants
+MOST_CHARS = 64  # of a unit whose skipped segmentations are remembered
+ALWAYS = 1 << 62  # a pop that no unit reaches
+STEP, FOLD, WORD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
 
 @dataclass
@@ -66,14 +70,42 @@ class Vocabulary:
         return Vocabulary(pieces, numbers, costs, pairs, model.piece_to_id("<0x00>"))
 
 
-def _skipped(key: int, left: int, right: int, bar: int) -> bool:
-    """Whether the keyed hash of a merge, 31 bits, is below the bar."""
-    drawn = (key ^ (left * 40503 + right * 10007)) * 0x9E3779B1 & 0xFFFFFFFF
-    return (drawn ^ drawn >> 15) * 0x2C1B3C6D >> 12 & 0x7FFFFFFF < bar
+class Draws:
+    """The pops that one occurrence skips, counted over its unit: gaps between them follow from a keyed hash."""
 
+    def __init__(self, limits: list[int], seed: int) -> None:
+        self.limits, self.seed = limits, seed
+        self.next = -1
+        self.skipped: list[int] = []
+        self.advance()
 
-def _merge_short(symbols: list[str], costs: dict[str, float], bar: int, key: int) -> tuple[list[int], list[str]]:
-    """The agenda as a list that is searched: quickest for a few symbols."""
+    def advance(self) -> None:
+        """On to the next skipped pop."""
+        if not self.limits:
+            self.next = ALWAYS
+            return
+        drawn = self.seed = (self.seed + STEP) & WORD
+        drawn = (drawn ^ drawn >> 30) * FOLD & WORD
+        self.next += 1 + len(self.limits) - bisect_right(self.limits, (drawn ^ drawn >> 31) >> 33)
+
+    def skip(self) -> None:
+        self.skipped.append(self.next)
+        self.advance()
+
+
+def gap_limits(rate: float) -> list[int]:
+    """Of 31 bits: below the k-th largest limit, at least k pops lie before a skip. Whole numbers, equal on every machine."""
+    share = (1 << 31) - int(rate * (1 << 31))
+    limits = []
+    left = share if share < 1 << 31 else 0
+    while left:
+        limits.append(left)
+        left = left * share >> 31
+    return limits[::-1] or ([0] if share < 1 << 31 else [])
+
+
+def _merge_short(symbols: list[str], costs: dict[str, float], draws: Draws, pops: int = 0) -> tuple[list[int], list[str], int]:
+    """The agenda as a list that is searched: quickest for a few symbols. Pops are counted on from ``pops``."""
     places = list(range(len(symbols)))
     cost = [costs.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
     while cost:
@@ -81,21 +113,21 @@ def _merge_short(symbols: list[str], costs: dict[str, float], bar: int, key: int
         if least == NEVER:
             break
         i = cost.index(least)
-        if bar:
-            drawn = (key ^ (places[i] * 40503 + places[i + 1] * 10007)) * 0x9E3779B1 & 0xFFFFFFFF  # as in _skipped
-            if (drawn ^ drawn >> 15) * 0x2C1B3C6D >> 12 & 0x7FFFFFFF < bar:
-                cost[i] = NEVER
-                continue
+        pops += 1
+        if pops > draws.next:
+            draws.skip()
+            cost[i] = NEVER
+            continue
         symbols[i] += symbols[i + 1]
         del symbols[i + 1], places[i + 1], cost[i]
         if i < len(cost):
             cost[i] = costs.get(symbols[i] + symbols[i + 1], NEVER)
         if i:
             cost[i - 1] = costs.get(symbols[i - 1] + symbols[i], NEVER)
-    return places, symbols
+    return places, symbols, pops
 
 
-def _merge_long(start: list[str], costs: dict[str, float], bar: int, key: int) -> tuple[list[int], list[str]]:
+def _merge_long(start: list[str], costs: dict[str, float], draws: Draws, pops: int = 0) -> tuple[list[int], list[str], int]:
     """The same merges with the agenda as a heap."""
     symbols: list[str | None] = list(start)
     n = len(symbols)
@@ -115,7 +147,9 @@ def _merge_long(start: list[str], costs: dict[str, float], bar: int, key: int) -
         _, left, right, merged = heapq.heappop(agenda)
         if symbols[left] is None or after[left] != right or symbols[left] + symbols[right] != merged:
             continue
-        if bar and _skipped(key, left, right, bar):
+        pops += 1
+        if pops > draws.next:
+            draws.skip()
             continue
         symbols[left], symbols[right] = merged, None
         follow = after[left] = after[right]
@@ -125,7 +159,7 @@ def _merge_long(start: list[str], costs: dict[str, float], bar: int, key: int) -
         if before[left] >= 0:
             offer(before[left])
     places = [i for i, s in enumerate(symbols) if s is not None]
-    return places, [symbols[i] for i in places]
+    return places, [symbols[i] for i in places], pops
 
 
 @dataclass
@@ -135,72 +169,117 @@ class Encoder:
     vocabulary: Vocabulary
     rate: float = RATE
     seed: int = SEED
-    variants: int = VARIANTS
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    turns: list[int] = field(default_factory=list)
+    known: dict[str, tuple[int, tuple[int, ...]]] = field(default_factory=dict)
+    older: dict[str, tuple[int, tuple[int, ...]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.bar = int(self.rate * (1 << 31))
-        self.keys = [crc32(b"%d:%d" % (self.seed, v)) for v in range(self.variants)]
-        # A variant is one character in front of a unit, so that a unit and its variant are one key.
-        self.turns = [chr(48 + crc32(b"%d:%d" % (self.seed, i)) % self.variants) for i in range(TURNS)]
-
-    def remembered(self, key: str) -> tuple[int, ...]:
-        """Piece numbers of a variant and unit. What is still in use moves to the newer of two generations."""
-        found = self.older.get(key)
-        if found is None:
-            found = self.unit(key[1:], ord(key[0]) - 48)
+        self.limits = gap_limits(self.rate)
+        self.bounds = np.array(self.limits, np.uint64)
+
+    def remembered(self, key: str) -> tuple[int, tuple[int, ...]] | None:
+        """Pops and piece numbers that are known. What is still in use moves to the newer of two generations."""
+        found = self.known.get(key)
+        if found is None and (found := self.older.get(key)):
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: str, found: tuple[int, tuple[int, ...]]) -> None:
         if len(self.known) >= REMEMBERED_UNITS:
             self.older, self.known = self.known, {}
         self.known[key] = found
+
+    def plain(self, text: str) -> tuple[int, tuple[int, ...]]:
+        """Pops and piece numbers of a unit of which nothing is skipped."""
+        found = self.remembered(text)
+        if found is None:
+            found = self.unit(text, Draws([], 0))
+            self.keep(text, found)
         return found
 
-    def unit(self, text: str, variant: int) -> tuple[int, ...]:
-        """Piece numbers of one unit. It is cut first between characters that stand side by side in no piece."""
+    def occurrence(self, text: str, seed: int, skip: int) -> tuple[int, ...]:
+        """Piece numbers of an occurrence; ``seed`` is its own, ``skip`` the first pop it skips. A unit that is new is run
+        once, as this occurrence has it. No unit that skips holds a line break."""
+        plain = self.remembered(text)
+        if plain is not None and skip >= plain[0]:
+            return plain[1]
+        repeated = plain is not None and len(text) <= MOST_CHARS
+        if repeated:
+            draws, name = Draws(self.limits, seed), text + "\n"
+            while True:
+                name += chr(draws.next)
+                draws.skip()
+                found = self.remembered(name)
+                if found is None:
+                    break
+                if draws.next >= found[0]:
+                    return found[1]
+        draws = Draws(self.limits, seed)
+        found = self.unit(text, draws)
+        if not draws.skipped:
+            self.keep(text, found)
+        elif repeated:
+            self.keep(text + "\n" + "".join(map(chr, draws.skipped)), found)
+        return found[1]
+
+    def unit(self, text: str, draws: Draws) -> tuple[int, tuple[int, ...]]:
+        """Pops and piece numbers of one unit. It is cut first between characters that stand side by side in no piece."""
         pairs = self.vocabulary.pairs
         shown = text.replace(" ", MARK)
         cuts = [i for i, pair in enumerate(map(str.__add__, shown, shown[1:]), 1) if pair not in pairs]
         if not cuts:
-            return self.atom(text, variant)
+            return self.atom(text, draws, 0)
         out: list[int] = []
-        front = chr(48 + variant)
+        pops = 0
         for i, j in zip([0, *cuts], [*cuts, len(text)], strict=True):
-            key = front + text[i:j]
-            out.extend(self.known.get(key) or (self.remembered(key) if j - i > 1 else self.atom(text[i:j], variant)))
-        return tuple(out)
-
-    def atom(self, text: str, variant: int) -> tuple[int, ...]:
-        """Piece numbers of characters that may all merge; a popped merge is skipped where its keyed hash is below the rate."""
-        costs, bar, key = self.vocabulary.costs, self.bar, 0
-        if bar:
-            key = crc32(text.encode("utf-8", "surrogatepass"), self.keys[variant])
+            part, before, skips = text[i:j], pops, len(draws.skipped)
+            known = self.remembered(part)
+            if known is not None and draws.next >= pops + known[0]:
+                pops, numbers = pops + known[0], known[1]
+            else:
+                pops, numbers = self.atom(part, draws, pops)
+                if len(draws.skipped) == skips:
+                    self.keep(part, (pops - before, numbers))
+            out.extend(numbers)
+        return pops, tuple(out)
+
+    def atom(self, text: str, draws: Draws, pops: int) -> tuple[int, tuple[int, ...]]:
+        """Pops, counted on, and piece numbers of characters that may all merge."""
         literal = MARK in text
         symbols = list((text.replace(MARK, "\n") if literal else text).replace(" ", MARK))
-        places, merged = (_merge_short if len(symbols) <= SHORT else _merge_long)(symbols, costs, bar, key)
+        places, merged, pops = (_merge_short if len(symbols) <= SHORT else _merge_long)(symbols, self.vocabulary.costs, draws, pops)
         out = list(map(self.vocabulary.numbers.get, merged))
         if None not in out:
-            return tuple(out)
+            return pops, tuple(out)
         spelled: list[int] = []
         for i, number in zip(places, out, strict=True):
             if number is not None:
                 spelled.append(number)
             else:
                 spelled.extend(self.vocabulary.first_byte + b for b in text[i].encode("utf-8", "surrogatepass"))
-        return tuple(spelled)
+        return pops, tuple(spelled)
+
+    def seeds(self, key: str, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each place of a document: the seed of its draws, and the first pop it skips, both from a keyed hash."""
+        own = int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8, key=b"%d" % self.seed).digest(), "little")
+        seeds = (np.arange(1, count + 1, dtype=np.uint64) * np.uint64(FOLD)) ^ np.uint64(own)
+        seeds = (seeds ^ seeds >> np.uint64(32)) * np.uint64(STEP)
+        drawn = seeds + np.uint64(STEP)
+        drawn = (drawn ^ drawn >> np.uint64(30)) * np.uint64(FOLD)
+        return seeds, len(self.bounds) - np.searchsorted(self.bounds, (drawn ^ drawn >> np.uint64(31)) >> np.uint64(33), "right")
 
     def encode(self, text: str, key: str = "") -> list[int]:
         if not text:
             return []
-        at = crc32(key.encode(), self.seed & 0xFFFFFFFF) % TURNS
         out: list[int] = []
         units = UNIT.findall(" " + text)
-        cycle = self.turns[at:] + self.turns[:at]
-        if len(units) > TURNS:
-            cycle = cycle * (len(units) // TURNS + 1)
-        for unit, variant in zip(units, cycle):  # noqa: B905  the cycle is longer
-            named = variant + unit
-            out.extend(self.known.get(named) or self.remembered(named))
+        if not self.limits:
+            for unit in units:
+                out.extend(self.plain(unit)[1])
+            return out
+        seeds, first = self.seeds(key, len(units))
+        for place, (unit, skip) in enumerate(zip(units, first.tolist(), strict=True)):
+            found = self.known.get(unit)
+            out.extend(found[1] if found is not None and skip >= found[0] else self.occurrence(unit, int(seeds[place]), skip))
         return out
 
 
@@ -226,15 +305,15 @@ def decode(numbers: list[int], vocabulary: Vocabulary) -> str:
     return "".join(parts)[1:]
 
 
-_encoders: dict[tuple[int, float, int, int], Encoder] = {}
+_encoders: dict[tuple[int, float, int], Encoder] = {}
 
 
-def _encoder(vocabulary: Vocabulary, rate: float, seed: int, variants: int) -> Encoder:
+def _encoder(vocabulary: Vocabulary, rate: float, seed: int) -> Encoder:
     """The process's encoder for these settings, so that later tasks find its units segmented."""
-    key = (len(vocabulary.pieces), rate, seed, variants)
+    key = (len(vocabulary.pieces), rate, seed)
     found = _encoders.get(key)
     if found is None or found.vocabulary.pieces != vocabulary.pieces:
-        found = _encoders[key] = Encoder(vocabulary, rate, seed, variants)
+        found = _encoders[key] = Encoder(vocabulary, rate, seed)
     return found
 
 
@@ -249,12 +328,12 @@ def shared_vocabulary(spark: SparkSession, model: str | None = None):  # noqa: A
     return spark.sparkContext.broadcast(Vocabulary.load(model or default_model()))
 
 
-def encode_documents(documents: DataFrame, model: str | None = None, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(documents: DataFrame, model: str | None = None, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, text and ``pieces`` (numbers) of each document."""
     shared = shared_vocabulary(documents.sparkSession, model)
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(shared.value, rate, seed, variants)
+        encoder = _encoder(shared.value, rate, seed)
         for batch in batches:
             for start in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.iloc[start : start + ROWS_AT_ONCE]
@@ -285,7 +364,7 @@ def piece_digest(documents: DataFrame, model: str | None = None) -> DataFrame:
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = shared.value
-        encoder = _encoder(vocabulary, RATE, SEED, VARIANTS)
+        encoder = _encoder(vocabulary, RATE, SEED)
         for batch in batches:
             rows = []
             for key, text in zip(batch["key"], batch["text"], strict=True):

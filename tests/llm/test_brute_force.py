@@ -206,7 +206,54 @@ def test_dropout_varies_by_seed_and_both_agendas_agree(texts):
     assert sum(one.encode(t) != two.encode(t) for t in some) > 25
     for text in some:
         symbols = list(text[:400].replace(" ", sp.MARK))
-        assert sp._merge_short(list(symbols), vocabulary.costs, 1 << 28, 9) == sp._merge_long(list(symbols), vocabulary.costs, 1 << 28, 9)
+        short, long = (merge(list(symbols), vocabulary.costs, sp.Draws(one.limits, 9)) for merge in (sp._merge_short, sp._merge_long))
+        assert short == long
+
+
+def plainly_merged(unit, vocabulary, skipped):
+    """The agenda read as its definition: all pairs are looked at before every pop, and a skipped pair is left until it changes."""
+    parts = [(i, c) for i, c in enumerate(unit.replace(" ", sp.MARK))]
+    refused, pop = set(), 0
+    while True:
+        pairs = [
+            (vocabulary.costs[a[1] + b[1]], a[0], n) for n, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
+            if a[1] + b[1] in vocabulary.costs and (a, b) not in refused
+        ]
+        if not pairs:
+            return [vocabulary.numbers[t] for _, t in parts], pop
+        n = min(pairs)[2]
+        if skipped(pop):
+            refused.add((parts[n], parts[n + 1]))
+        else:
+            parts[n : n + 2] = [(parts[n][0], parts[n][1] + parts[n + 1][1])]
+        pop += 1
+
+
+def test_dropout_is_drawn_per_pop_of_each_occurrence():
+    """Every occurrence follows its own draws, whatever is remembered; skips are as frequent as the rate says."""
+    vocabulary = vocabulary_of_the_model()
+    words = ["the", "internationalization", "understanding", "a", "statistically", "x" * 70, "of"]
+    rng = random.Random(4)
+    encoder = sp.Encoder(vocabulary, 0.2, 3)
+    pops = skips = 0
+    for document in range(60):
+        units = [" " + rng.choice(words) for _ in range(80)]
+        seeds, _ = encoder.seeds(str(document), len(units))
+        want = []
+        for unit, seed in zip(units, seeds.tolist(), strict=True):
+            draws = sp.Draws(encoder.limits, seed)
+
+            def skipped(pop, draws=draws):
+                hit = pop == draws.next
+                if hit:
+                    draws.skip()
+                return hit
+
+            numbers, popped = plainly_merged(unit, vocabulary, skipped)
+            want += numbers
+            pops, skips = pops + popped, skips + len(draws.skipped)
+        assert encoder.encode("".join(units)[1:], str(document)) == want
+    assert abs(skips / pops - 0.2) < 0.01
 
 
 def base_spans(text):
