@@ -284,6 +284,11 @@ def cut_repeats(raw: bytes, repeats: list[bytes]) -> tuple[int, int, bytes]:
     return int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()
 
 
+def _key(whole: Column) -> Column:
+    """The first 64 bits of a text's digest, which name it in packed rows; what is a copy is told by the whole digest."""
+    return F.conv(F.substring(whole, 1, 16), 16, -10).cast("long")
+
+
 def _by_id(frame: DataFrame, ids: DataFrame) -> DataFrame:
     small = ids.count() <= MOST_BROADCAST_ROWS
     return frame.join(F.broadcast(ids) if small else ids, ["doc_id", "key"], "left_semi")
@@ -294,12 +299,12 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), raw.alias("raw"))
-    keyed = rows.select("doc_id", F.xxhash64("raw").alias("key"), "raw")
+    keyed = rows.select("doc_id", F.sha2("raw", 256).alias("whole"), "raw").withColumn("key", _key(F.col("whole")))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = anchor_rows(keyed, buckets)
     found = packed.groupBy("bucket").applyInPandas(_shared_anchors, "key long, places binary, hot binary, deals binary")
     marks = written(found, "anchors")
-    firsts = keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    firsts = keyed.groupBy("key", "whole").agg(F.min("doc_id").alias("doc_id"))
     marked = written(marks.select("key").distinct().join(firsts, "key").select("doc_id", "key"), "marked")
     # Struct lists keep the parts of a text in one order.
     parts = marks.groupBy("key").agg(F.collect_list(F.struct("places", "hot", "deals")).alias("parts"))
@@ -308,7 +313,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         return F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p[name])), "")).alias(name)
 
     places = parts.select("key", joined("places"), joined("hot"), joined("deals"))
-    texts = _by_id(keyed, marked).dropDuplicates(["doc_id", "key"])
+    texts = _by_id(keyed.drop("whole"), marked).dropDuplicates(["doc_id", "key"])
     candidates = written(texts.join(places, "key"), "candidates")
     size = candidates.select(F.sum(F.octet_length("places")).alias("n")).first()["n"] or 0
     shards = max(1, size // 4 * GRAM // SHARD_BYTES)  # about as many bytes as windows between anchors
@@ -332,12 +337,12 @@ def repeat_digest(documents: DataFrame) -> DataFrame:
     cut = remove_repeats(documents).select("doc_id", "key", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col("doc_id").alias("shown"), F.xxhash64(raw).alias("key"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col("doc_id").alias("shown"),
         F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole_sha256"),
-    )
+    ).withColumn("key", _key(F.col("whole_sha256")))
     counted = written(rows.groupBy("doc_id", "shown", "key", "n_bytes", "whole_sha256").agg(F.count(F.lit(1)).alias("copies")), "texts")
-    first = counted.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.lit(True).alias("first"))
-    known = counted.join(first, ["doc_id", "key"], "left").join(cut, ["doc_id", "key"], "left")
+    first = counted.groupBy("whole_sha256").agg(F.min("doc_id").alias("doc_id"), F.lit(True).alias("first"))
+    known = counted.join(first, ["doc_id", "whole_sha256"], "left").join(cut, ["doc_id", "key"], "left")
     each = known.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     original = F.coalesce(F.col("first"), F.lit(False)) & (F.col("copy") == 1)
     copied = ~original & (F.col("n_bytes") >= WINDOW)

@@ -13,6 +13,7 @@ import pytest
 from text_rows import SF_ORACLE
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sluicebox.llm import neighbours
 from sluicebox.llm import pieces as sp
@@ -34,7 +35,7 @@ def texts(spark):
 def test_query_matches_sql(spark, name):
     frame = LLM_QUERIES[name](spark, SF_ORACLE)
     with duckdb.connect() as duck:
-        for table in ("documents", "conversations"):
+        for table in ("documents", "conversations", "embeddings"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_ORACLE}/{table}.parquet'")
         result = duck.execute(LLM_ORACLE[name])
         columns = [d[0] for d in result.description]
@@ -42,6 +43,14 @@ def test_query_matches_sql(spark, name):
     assert sorted(map(repr, (tuple(r) for r in frame.select(*columns).collect()))) == want
 
 
+def test_texts_with_one_key_are_no_copies(spark, monkeypatch):
+    """Copies are told by the whole digest: where packed names collide, different texts keep their bytes and copies go."""
+    monkeypatch.setattr(suffix_dedup, "_key", lambda whole: F.lit(7).cast("long"))
+    one, two = ("".join(random.Random(n).choices("abcdefgh ", k=400)) for n in (1, 2))
+    frame = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.repeat_digest(frame).collect()} == {1: 0, 2: 0, 3: 400}
+
+
 def test_suffix_dedup_of_all_texts(spark, texts):
     got = {r.doc_id: r for r in LLM_QUERIES["op1_suffix_array_dedup"](spark, SF_ORACLE).collect()}
     seen = set()
