@@ -128,6 +128,33 @@ def _codes_sql(entries: int = 256, rounds: int = 4) -> str:
 
 
 LLM_ORACLE: dict[str, str] = {
+    "op8_sharding": r"""
+        WITH content AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce(doc_id::VARCHAR, '') AS key, encode(coalesce(text, '')) AS raw FROM documents
+        ), bytes AS (
+            SELECT list(list_reduce(list_prepend(v, range(8)), lambda c, bit: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY v) AS crcs
+            FROM range(256) AS each_byte(v)
+        ), summed AS (
+            SELECT id, doc_id, key, (octet_length(raw) + 1)::BIGINT AS size,
+                xor(list_reduce(
+                    list_prepend(4294967295, list_transform(regexp_extract_all(hex(raw), '..'), lambda h: ('0x' || h)::BIGINT)),
+                    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])
+                ), 4294967295)::BIGINT AS text_crc32
+            FROM content, bytes
+        ), leaves AS (
+            SELECT n::INTEGER AS shard, n % 2 AS region, n // 2 % 2 AS rack, n // 4 AS place FROM range(17) AS numbers(n)
+        ), draws AS (
+            SELECT id, shard, region, rack,
+                ('0x' || substr(md5(key || '/' || region || '/' || rack || '/' || (place // 4)), (place % 4 * 8 + 1)::BIGINT, 8))::BIGINT AS drawn
+            FROM content, leaves
+        ), placed AS (
+            SELECT id, first(shard ORDER BY drawn DESC, region, rack, shard) FILTER (shard < 16) AS shard,
+                first(shard ORDER BY drawn DESC, region, rack, shard) AS grown_shard
+            FROM draws GROUP BY id
+        )
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+            row_number() OVER (PARTITION BY shard ORDER BY substr(md5(key), 1, 3), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+        FROM summed JOIN placed USING (id)""",
     "op11_exact_dedup": r"""
         WITH content AS (
             SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS raw
