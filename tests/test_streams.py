@@ -161,3 +161,11 @@ def test_kpi_stream_gives_the_closed_windows_of_the_batch(spark, sf_small, tmp_p
         F.col("window_end") <= F.lit(latest) - F.expr("INTERVAL 2 DAYS")
     )
     assert rows(got) == rows(closed) and got.count() > 50
+
+
+def test_console_echo_sends_the_driver_no_more_rows_than_it_shows(spark, sf_small):
+    echo = start_console(source(spark, sf_small), ALL_AVAILABLE)
+    echo.awaitTermination()
+    sent = sum(p.sink.numOutputRows for p in echo.recentProgress)
+    assert read_events(spark, sf_small).count() > 20
+    assert 0 < sent <= 20
