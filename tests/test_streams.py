@@ -169,3 +169,18 @@ def test_console_echo_sends_the_driver_no_more_rows_than_it_shows(spark, sf_smal
     sent = sum(p.sink.numOutputRows for p in echo.recentProgress)
     assert read_events(spark, sf_small).count() > 20
     assert 0 < sent <= 20
+
+
+def test_console_echo_still_reads_every_row_of_the_source(spark, sf_small, tmp_path):
+    many = read_events(spark, sf_small)
+    for n in range(6):  # more rows than one batch of the reader, in one file
+        many = many.unionAll(read_events(spark, sf_small))
+    many.coalesce(1).write.parquet(str(tmp_path / "written"))
+    (tmp_path / "events").mkdir()
+    part = next((tmp_path / "written").glob("*.parquet"))
+    (tmp_path / "events" / "events.parquet").write_bytes(part.read_bytes())
+    echo = start_console(source(spark, str(tmp_path / "events")), ALL_AVAILABLE)
+    echo.awaitTermination()
+    progress = echo.recentProgress
+    assert sum(p.numInputRows for p in progress) == 7 * read_events(spark, sf_small).count()
+    assert 0 < sum(p.sink.numOutputRows for p in progress) <= 20
