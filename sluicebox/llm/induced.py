@@ -2,7 +2,9 @@
 
 A suffix is sorted by its first character and the place of the suffix behind it, which is known already when suffixes are
 taken in order. Two passes do that: from the sorted leftmost suffixes of type S (LMS) all suffixes of type L, and from
-those all of type S. The LMS suffixes themselves are sorted by recursion over the names of the stretches between them.
+those all of type S. The LMS suffixes themselves are sorted by the names of the stretches between them: each turn compares
+twice as many names, of the suffixes that still have equals (Larsson and Sadakane), as passes over texts of many names would
+move on by a few suffixes at a time.
 A pass keeps its pending suffix tuples in a priority queue of sorted runs; large runs lie in files of the task's scratch
 folder, as Spark's own spills do, and are read in blocks. Tuples are taken in batches as long as none that is still to be
 pushed could come before them. Common-prefix lengths go through the passes with the suffixes: the prefix that two induced
@@ -19,7 +21,7 @@ MEMORY_ENTRIES = 4_000_000  # a longer run goes to disk
 NOTHING = np.int64(1 << 62)
 NO_PREFIX = np.zeros(0, np.int64)
 BYTE_FAR, FAR = 8_000, 1 << 40  # beyond all keys; doubled, they still fit their types
-FACTOR = 0x9E3779B97F4A7C15
+LETTER_BITS, PACKED = 10, 6  # of a character with its type; characters in one key
 
 
 def kept(array: np.ndarray, folder: str) -> np.ndarray:
@@ -198,45 +200,71 @@ def _passes(text: np.ndarray, s: np.ndarray, lms: np.ndarray, shared: np.ndarray
     return positions, prefix
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    factors = np.full(n, base, np.uint64)
-    factors[0] = 1
-    return np.multiply.accumulate(factors)
+def _ranked(lower: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of entries that lie sorted by a lower rank and a key, and whether each has equals. A rank counts all lesser entries."""
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (lower[1:] != lower[:-1])
+    start = np.flatnonzero(new)
+    length = np.diff(start, append=len(key))
+    opens = np.ones(len(start), bool)  # the first of a lower rank keeps that rank
+    opens[1:] = lower[start[1:]] != lower[start[:-1]]
+    opened = start[np.maximum.accumulate(np.where(opens, np.arange(len(start)), 0))]
+    return np.repeat(lower[start] + start - opened, length), np.repeat(length > 1, length)
 
 
-def sorted_lms(text: np.ndarray, s: np.ndarray, folder: str) -> np.ndarray:
-    """The LMS suffixes in order, the last character's first: by names of LMS stretches, and recursion where names repeat."""
+def _stretch_names(text: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """Ranks of the stretches from each LMS position to the next one, the last character's first; equal stretches have one rank.
+
+    Characters are compared with their types, ``PACKED`` at a time, until a stretch is told apart or ends. With its types no
+    stretch begins another one, as the other would end there as well.
+    """
+    letters = np.concatenate([text * 2 + s, np.zeros(PACKED, text.dtype)])
+    end = np.append(lms[1:], lms[-1])
+    names, done = np.empty(len(lms), np.int64), 0
+    live, lower = np.arange(len(lms)), np.zeros(len(lms), np.int64)
+    while len(live):
+        at, size = lms[live] + done, end[live] - lms[live] + 1 - done
+        key = np.zeros(len(live), np.int64)
+        for k in range(PACKED):
+            key = key << LETTER_BITS | np.where(k < size, letters[at + k], 0)
+        order = np.argsort(key, kind="stable")
+        if done:
+            order = order[np.argsort(lower[order], kind="stable")]
+        lower, several = _ranked(lower[order], key[order])
+        live = live[order]
+        names[live] = lower
+        done += PACKED
+        several &= size[order] > PACKED
+        live, lower = live[several], lower[several]
+    return names
+
+
+def sorted_lms(text: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The LMS suffixes in order, the last character's first: by names of LMS stretches, and what follows them where names repeat."""
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
-    if len(lms) == 1:
-        return lms
-    rough = np.concatenate([lms[-1:], lms[:-1][np.argsort(text[lms[:-1]], kind="stable")]])
-    falling, _ = _passes(text, s, rough, None, folder)
-    is_lms = np.zeros(len(text), bool)
-    is_lms[lms] = True
-    order = np.concatenate([lms[-1:], falling[::-1][is_lms[falling[::-1]]]])
-    # A stretch reaches from its LMS position to the next one; its name tells equal stretches by hash and length.
-    powers, inverse = _powers(FACTOR, len(text) + 1), _powers(pow(FACTOR, -1, 1 << 64), len(text) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
-    end = np.append(lms[1:] + 1, lms[-1] + 1)
-    hashed = (sums[end] - sums[lms]) * inverse[lms]
-    number = np.empty(len(text), np.int64)
-    number[lms] = np.arange(len(lms))
-    at = number[order]
-    length = end - lms
-    new = np.ones(len(order), bool)
-    new[1:] = (hashed[at[1:]] != hashed[at[:-1]]) | (length[at[1:]] != length[at[:-1]])
-    names = np.empty(len(lms), np.int64)
-    names[at] = np.cumsum(new) - 1
-    if int(names[at[-1]]) == len(lms) - 1:
-        return order
-    return lms[_suffix_order(names, folder)]
-
-
-def _suffix_order(text: np.ndarray, folder: str) -> np.ndarray:
-    s = types(text)
-    lms = sorted_lms(text, s, folder)
-    falling, _ = _passes(text, s, lms, None, folder)
-    return np.concatenate([[len(text) - 1], falling[::-1]])
+    return lms[_suffix_order(_stretch_names(text, s, lms))]
+
+
+def _suffix_order(names: np.ndarray) -> np.ndarray:
+    """All suffixes of a text of names in order; its last name is the unique least one.
+
+    Those alike in ``told`` names are told apart by the ranks ``told`` places behind them, which reach as far again. No such
+    place is beyond the end, as the last name is unique.
+    """
+    live = np.argsort(names, kind="stable")
+    rank, lower, told = np.empty(len(names), np.int64), np.zeros(len(names), np.int64), 0
+    key = names[live]
+    while len(live):
+        lower, several = _ranked(lower, key)
+        rank[live] = lower
+        live, lower = live[several], lower[several]
+        told = max(1, 2 * told)
+        key = lower * len(names) + rank[live + told]
+        order = np.argsort(key, kind="stable")
+        live, lower, key = live[order], lower[order], key[order]
+    out = np.empty(len(names), np.int64)
+    out[rank] = np.arange(len(names))
+    return out
 
 
 def common_prefixes(raw: np.ndarray, left: np.ndarray, right: np.ndarray, most: int) -> np.ndarray:
@@ -268,7 +296,7 @@ def suffixes_with_prefixes(pieces: list[bytes], most: int, folder: str = "") ->
     text[starts + sizes - 1] = 1
     text = np.append(text, np.int16(0))
     s = types(text)
-    lms = sorted_lms(text, s, folder)
+    lms = sorted_lms(text, s)
     # The joint of two pieces counts as a character here; prefixes across it only concern suffixes shorter than ``most``.
     shared = np.concatenate([[0, 0], common_prefixes(raw, lms[1:-1], lms[2:], most)])[: len(lms)]
     falling, prefix = _passes(text, s, lms, shared, folder)

@@ -36,6 +36,7 @@ SPAN = WINDOW - GRAM + 1  # grams in a window
 HOT = 200
 FINE = 8  # windows of a hot anchor that are dealt together
 CHUNK_BYTES = 1_000_000
+BLOCK = 1 << 15  # windows whose anchors are found at a time
 SHARD_BYTES = 4_000_000
 PLACE_BITS = 24
 MOST_BROADCAST_ROWS = 1_000_000  # of eight bytes each; beyond it the same join shuffles
@@ -63,32 +64,36 @@ def _least_places(hashed: np.ndarray, windows: int) -> np.ndarray:
 
 def window_anchors(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that name the same place: text number, first and last start, place of the gram, hash. Offsets are in
-    the text."""
+    the text. Windows are taken in blocks whose arrays stay in the processor's cache; hashes do not depend on the block."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     begins = np.cumsum(sizes) - sizes
     none = np.zeros(0, np.int64)
     if len(raw) < WINDOW:
         return none, none, none, none, none.astype(np.uint64)
-    up, down = powers.upto(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    grams = len(raw) - GRAM + 1
-    hashed = mix((sums[GRAM:] - sums[:grams]) * down[:grams])
-    windows = len(raw) - WINDOW + 1
-    place = _least_places(hashed, windows)
-    text = np.repeat(np.arange(len(texts)), sizes)[:windows]
-    fits = np.arange(windows) + WINDOW <= (begins + sizes)[text]
-    starts = np.flatnonzero(fits)
-    if not len(starts):
-        return none, none, none, none, none.astype(np.uint64)
-    new = np.ones(len(starts), bool)
-    new[1:] = (place[starts[1:]] != place[starts[:-1]]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    lo, hi = starts[first], starts[last]
-    t, at = text[lo], place[lo]
-    return t, lo - begins[t], hi - begins[t], at - begins[t], mix(hashed[at])
+    up, down = powers.upto(BLOCK + WINDOW)
+    windows, fitting = len(raw) - WINDOW + 1, np.maximum(sizes - WINDOW + 1, 0)
+    place, hashes, opens = np.empty(windows, np.int64), np.empty(windows, np.uint64), np.zeros(windows, bool)
+    opens[begins[fitting > 0]] = True
+    for start in range(0, windows, BLOCK):
+        here = min(BLOCK, windows - start)
+        part = raw[start : start + here + WINDOW - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        hashed = mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(part) - GRAM + 1])
+        least = _least_places(hashed, here)
+        place[start : start + here] = least + start
+        opens[start + 1 : start + here] |= least[1:] != least[:-1]
+        opens[start] |= not start or place[start] != place[start - 1]
+        new = np.flatnonzero(opens[start : start + here])
+        hashes[start + new] = hashed[least[new]]
+    lo = np.flatnonzero(opens)
+    hi = np.append(lo[1:], windows) - 1
+    t = np.searchsorted(begins, lo, "right") - 1
+    last = (begins + fitting)[t] - 1
+    fits = lo <= last  # windows over the end of a text are none
+    lo, hi, t = lo[fits], np.minimum(hi, last)[fits], t[fits]
+    return t, lo - begins[t], hi - begins[t], place[lo] - begins[t], mix(hashes[lo])
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
@@ -241,17 +246,27 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     stretches = [b"".join([pieces[i][: windows[i]] for i in at[a : b - 1]] + [pieces[at[b - 1]]]) for a, b in zip(head, ends, strict=True)]
     with tempfile.TemporaryDirectory() as scratch:
         falling, prefix, starts = suffixes_with_prefixes(stretches, WINDOW, scratch)
-        stretch_of = np.searchsorted(starts, falling, "right") - 1
+        stretch_of = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(falling)))[falling]
         offset = falling - starts[stretch_of]
         group = np.cumsum(prefix < WINDOW)
     own = at[head][stretch_of]
     valid = offset < np.add.reduceat(windows[at], head)[stretch_of]
     own, offset, group = own[valid], offset[valid], group[valid]
-    order = np.lexsort((first[own] + offset, rank[own], group))
-    own, offset, group = own[order], offset[order], group[order]
-    later = np.zeros(len(own), bool)
-    later[1:] = group[1:] == group[:-1]
-    own, start, size = own[later], first[own[later]] + offset[later], np.ones(int(later.sum()), np.int64)
+    # Of each group of equal windows, all but the earliest: by text and start of the piece, and the place in the text.
+    opens = np.ones(len(own), bool)
+    opens[1:] = group[1:] != group[:-1]
+    heads = np.flatnonzero(opens)
+    sizes = np.diff(heads, append=len(own))
+    several = np.repeat(sizes > 1, sizes)
+    own, offset, sizes = own[several], offset[several], sizes[sizes > 1]
+    if len(sizes):
+        heads = np.cumsum(sizes) - sizes
+        level = rank[own]
+        soonest = level == np.repeat(np.minimum.reduceat(level, heads), sizes)
+        place = np.where(soonest, offset, len(falling))
+        later = ~soonest | (place != np.repeat(np.minimum.reduceat(place, heads), sizes))
+        own, offset = own[later], offset[later]
+    start, size = first[own] + offset, np.ones(len(own), np.int64)
     copy = np.array(copies, np.int64)
     own, start, size = np.concatenate([own, copy]), np.concatenate([start, first[copy]]), np.concatenate([size, windows[copy]])
     out = []

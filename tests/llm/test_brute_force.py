@@ -93,6 +93,31 @@ def test_induced_sorting_with_runs_on_disk(monkeypatch, tmp_path):
     assert all((a == b).all() for a, b in zip(plain, spilled, strict=True))
 
 
+def test_repeats_take_no_more_passes_than_other_texts(monkeypatch):
+    """Stretches that repeat are told apart by what follows them, not by passes over texts of their names."""
+    from sluicebox.llm import induced
+
+    line, passes = bytes(random.Random(5).choices(b"abcd ", k=700)), []
+    parts = [line * 3, line[100:], b"a" * 900, b"ab" * 500, line, b"aab" * 300]
+    plain = induced.induce
+    monkeypatch.setattr(induced, "induce", lambda *given: (passes.append(len(given[2])), plain(*given))[1])
+    found, _, starts = suffixes_with_prefixes(parts, 100)
+    text = [c + 2 for c in b"\0".join(parts) + b"\0"]
+    for a, p in zip(starts, parts, strict=True):
+        text[a + len(p)] = 1
+    assert list(found) == sorted(range(len(text)), key=lambda i: text[i:] + [0], reverse=True)
+    assert len(passes) == 2
+
+
+@pytest.mark.parametrize("block", [1, 7, 250])
+def test_anchors_do_not_depend_on_blocks(monkeypatch, block):
+    rng = random.Random(block)
+    parts = [bytes(rng.choices(b"ab" if i % 2 else b"abcdefgh ", k=k)) for i, k in enumerate((0, 300, 99, 100, 101, 0, 800, 5, 450))]
+    whole = suffix_dedup.window_anchors(parts, Powers())
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    assert all((a == b).all() for a, b in zip(whole, suffix_dedup.window_anchors(parts, Powers()), strict=True))
+
+
 def jaccard(a, b):
     if max(a.values()) == max(b.values()) == 1:
         return len(a & b) / len(a | b)
