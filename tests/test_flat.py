@@ -1,12 +1,17 @@
 """Flat events: truth table, file tree and outputs."""
 
 import json
+from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from sluicebox.catalog.fixtures import flat_texts
+from sluicebox.catalog.stored import TREE_SUFFIX, flat_tree
 from sluicebox.operators.flat import accepted, add_issues, counts_per_folder, one_row_per_issue, parse_flat, typed
 from sluicebox.plans.flat import run_flat
+from sluicebox.sources import flat_files
 from sluicebox.sources.flat_files import UnreadableFiles, empty_flat_files, flat_folders, scan_flat_files
 from sluicebox.streaming.flat import start_flat
 from sluicebox.sources.layers import read_flat_garbage, read_flat_silver
@@ -195,3 +200,38 @@ def test_stream_reads_each_file_once_and_archives_it(spark, tree, tmp_path):
     assert moved >= {name for _, name in rows} - {p.name for p in tree.rglob("*.json")} and len(moved) > 5
     runs = list(Path(silver).glob("run=*"))
     assert len(runs) == len({p.name for p in runs}) >= 2
+
+
+def test_files_opened_by_tasks_are_those_of_sparks_reader(spark, tree, monkeypatch):
+    folder = tree / "bank a+b" / "atm"
+    (folder / "bytes.json").write_bytes(b"\xff\xfe{}\r\n\0")
+    (folder / "a b%+.json").write_text("{}\n")
+    (folder / "none.json").touch()
+    (folder / "_none.json").touch()
+    for hidden in ("_web", ".pos"):
+        (tree / "bank_c" / hidden).mkdir()
+        (tree / "bank_c" / hidden / "x.json").write_text("{}")
+
+    def rows():
+        scan = scan_flat_files(spark, str(tree))
+        plan = scan._jdf.queryExecution().executedPlan().toString()
+        shown = scan.select("bank_dir", "channel_dir", "file_name", F.hex(F.col("event_text").cast("binary")))
+        return plan, sorted(shown.collect()), sorted(empty_flat_files(spark, str(tree)).collect())
+
+    by_tasks = rows()
+    monkeypatch.setattr(flat_files, "tasks_open", lambda spark, root: None)
+    by_reader = rows()
+    assert by_tasks[1:] == by_reader[1:] and len(by_tasks[1]) == len(TEXTS) + 7
+    assert "FileScan" in by_reader[0] and "FileScan" not in by_tasks[0]
+
+
+def test_tree_has_one_file_for_each_row_and_no_other(spark, tmp_path):
+    events = spark.createDataFrame(
+        [(i // 2, datetime(2024, 1, 1), i % 5, "click", float(i)) for i in range(40)] + [(7, datetime(2024, 1, 1), 1, "view", 2.5)] * 3,
+        "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE",
+    )
+    root = Path(flat_tree(spark, events))
+    files = [p for p in root.rglob("*") if p.is_file()]
+    written = sorted((p.parent.parent.name, p.parent.name, p.read_text()) for p in files)
+    assert written == sorted((r.bank_dir, r.channel_dir, r.event_text + "\n") for r in flat_texts(events).collect())
+    assert len(files) == 43 and {p.suffix for p in files} == {TREE_SUFFIX}
