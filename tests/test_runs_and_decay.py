@@ -174,6 +174,18 @@ def test_velocity_of_a_stream_equals_the_batch(spark, tmp_path, order, tick):
     assert got == as_rows(velocity(kept.filter("event_timestamp <> processed_at"), 1800))
 
 
+def test_velocity_of_many_cards_takes_few_state_keys(spark, tmp_path):
+    """Thousands of cards in one bucket share keys of the state, whose calls cost far more than rows; their sums stay apart."""
+    rows = [(n % 50, f"c{n}", float(n)) for n in range(3_000)] + [(60, f"c{n}", None) for n in range(0, 3_000, 7)]
+    in_files(silver(spark, rows), f"{tmp_path}/in", ["true"])
+    in_files(silver(spark, [(10**6, "closing", 1.0)]), f"{tmp_path}/in", ["true"])
+    query = start_velocity(stream(spark, f"{tmp_path}/in", SILVER_SCHEMA), f"{tmp_path}/out", f"{tmp_path}/c", 600, "10 seconds")
+    query.awaitTermination()
+    got = as_rows(spark.read.parquet(f"{tmp_path}/out").filter("masked_card <> 'closing'"))
+    assert got == as_rows(velocity(silver(spark, rows), 600))
+    assert max(p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators) < 1_000
+
+
 def test_ticks_have_to_divide_the_span(spark, tmp_path):
     with pytest.raises(ValueError):
         start_velocity(silver(spark, []), "x", "y", 1800, tick_seconds=7)
