@@ -13,6 +13,7 @@ from sluicebox.operators.flat import accepted, add_issues, counts_per_folder, on
 from sluicebox.plans.flat import run_flat
 from sluicebox.sources import flat_files
 from sluicebox.sources.flat_files import UnreadableFiles, empty_flat_files, flat_folders, scan_flat_files
+from sluicebox.streaming import flat as streaming_flat
 from sluicebox.streaming.flat import start_flat
 from sluicebox.sources.layers import read_flat_garbage, read_flat_silver
 
@@ -235,3 +236,17 @@ def test_tree_has_one_file_for_each_row_and_no_other(spark, tmp_path):
     written = sorted((p.parent.parent.name, p.parent.name, p.read_text()) for p in files)
     assert written == sorted((r.bank_dir, r.channel_dir, r.event_text + "\n") for r in flat_texts(events).collect())
     assert len(files) == 43 and {p.suffix for p in files} == {TREE_SUFFIX}
+
+
+def test_stream_deals_small_files_to_few_tasks(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "bronze" / "bank_c" / "pos"
+    folder.mkdir(parents=True)
+    for n in range(600):
+        (folder / f"{n}.json").write_text(json.dumps(BASE | {"transaction_id": str(n)}))
+    tasks, plain = [], streaming_flat.write_both
+    monkeypatch.setattr(streaming_flat, "write_both", lambda batch, *a, **k: (tasks.append(batch.rdd.getNumPartitions()), plain(batch, *a, **k)))
+    silver, garbage = str(tmp_path / "silver"), str(tmp_path / "garbage")
+    start_flat(spark, str(tmp_path / "bronze"), silver, garbage, str(tmp_path / "checkpoint")).awaitTermination()
+    assert {r.transaction_id for r in read_flat_silver(spark, silver).collect()} == {str(n) for n in range(600)}
+    assert len(tasks) == 1 and tasks[0] <= spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.files.openCostInBytes", None) is None  # the caller's session is as it was
