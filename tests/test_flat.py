@@ -238,6 +238,25 @@ def test_tree_has_one_file_for_each_row_and_no_other(spark, tmp_path):
     assert len(files) == 43 and {p.suffix for p in files} == {TREE_SUFFIX}
 
 
+def test_stream_hands_on_the_texts_of_sparks_reader(spark, tree, tmp_path, monkeypatch):
+    folder = tree / "bank a+b" / "atm"
+    for name in ("a b%+.json", "ä#?.json"):
+        (folder / name).write_text(json.dumps(BASE) + "\r\n")
+    (folder / "bytes.json").write_bytes(b"\xff\xfe{}\0")
+    (folder / "none.json").touch()
+
+    def run(name):
+        out = [str(tmp_path / f"{name}-{n}") for n in ("silver", "garbage", "checkpoint")]
+        start_flat(spark, str(tree), *out).awaitTermination()
+        silver = read_flat_silver(spark, out[0]).select("bank_dir", "channel_dir", "file_name", "transaction_id")
+        garbage = read_flat_garbage(spark, out[1]).select("bank_dir", "channel_dir", "file_name", "issue", "event_text")
+        return sorted(map(str, silver.collect())), sorted(map(str, garbage.collect()))
+
+    by_tasks = run("tasks")
+    monkeypatch.setattr(flat_files, "tasks_open", lambda spark, root: None)
+    assert by_tasks == run("reader") and len(by_tasks[0]) > 2
+
+
 def test_stream_deals_small_files_to_few_tasks(spark, tmp_path, monkeypatch):
     folder = tmp_path / "bronze" / "bank_c" / "pos"
     folder.mkdir(parents=True)
